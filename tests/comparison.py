@@ -1,0 +1,58 @@
+"""Runs a registered query and its SQL in two engines and compares every row."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+# Spark and DuckDB names for the types that queries may return.
+SAME_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return connection
+
+
+def _normal(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value + 0.0)
+    return value
+
+
+def _bag(rows, columns) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_normal(row[i]) for i in order) for row in rows)
+
+
+def differences(spark_df, connection, sql: str) -> list[str]:
+    relation = connection.sql(sql)
+    expected_types = dict(zip(relation.columns, (str(t) for t in relation.types)))
+    found_types = {f.name: SAME_TYPE.get(f.dataType.simpleString(), "?") for f in spark_df.schema}
+    problems = []
+    if found_types != expected_types:
+        problems.append(f"schema {found_types} != {expected_types}")
+        return problems
+    found = _bag(spark_df.collect(), spark_df.columns)
+    expected = _bag(relation.fetchall(), relation.columns)
+    if found != expected:
+        only_found, only_expected = found - expected, expected - found
+        problems.append(
+            f"rows {found.total()} vs {expected.total()}; "
+            f"e.g. {list(only_found)[:2]} vs {list(only_expected)[:2]}"
+        )
+    return problems
