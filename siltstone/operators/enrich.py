@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.money import round_money
@@ -34,16 +34,41 @@ class DimensionLink:
 
 
 def enrich_star(
-    fact: DataFrame, links: Iterable[DimensionLink], round_columns: Sequence[str] = (), scale: int = 2
+    fact: DataFrame,
+    links: Iterable[DimensionLink],
+    round_columns: Sequence[str] = (),
+    scale: int = 2,
+    how: str = "left",
 ) -> DataFrame:
-    """Left-join the attributes of each dimension; an unknown key gives NULL attributes."""
+    """Join the attributes of each dimension.
+
+    An unknown key gives NULL attributes, or with ``how="inner"`` drops the row.
+    """
     for link in links:
         attributes = link.dim.select(link.key, *link.attributes)
-        fact = join_dimension(fact, attributes, {link.fact_key: link.key}, "left")
+        fact = join_dimension(fact, attributes, {link.fact_key: link.key}, how)
     rounded = {c: round_money(F.col(c), fact.schema[c].dataType, scale) for c in round_columns}
     return fact.withColumns(rounded) if rounded else fact
 
 
+def mark_known(
+    fact: DataFrame, links: Sequence[DimensionLink], round_columns: Sequence[str] = (), scale: int = 2
+) -> tuple[DataFrame, list[Column]]:
+    """Enriched facts, and per link a condition that its key is known. One join per dimension."""
+    flags = [f"__known_{n}" for n in range(len(links))]
+    marked = [
+        DimensionLink(
+            link.dim.select(link.key, *link.attributes).withColumn(flag, F.lit(True)),
+            link.fact_key,
+            [*link.attributes, flag],
+            link.dim_key,
+        )
+        for flag, link in zip(flags, links)
+    ]
+    joined = enrich_star(fact, marked, round_columns, scale)
+    return joined, [F.col(flag).isNotNull() for flag in flags]
+
+
 def classify(
     fact: DataFrame, links: Iterable[DimensionLink], round_columns: Sequence[str] = (), scale: int = 2
 ) -> DataFrame:
@@ -53,17 +78,21 @@ def classify(
     attributes; the caller filters or partitions by the reason.
     """
     links = list(links)
-    flags, marked = [], []
-    for n, link in enumerate(links):
-        flag = f"__known_{n}"
-        flags.append(flag)
-        dim = link.dim.select(link.key, *link.attributes).withColumn(flag, F.lit(True))
-        marked.append(DimensionLink(dim, link.fact_key, [*link.attributes, flag], link.dim_key))
-    joined = enrich_star(fact, marked, round_columns, scale)
-    reasons = [
-        F.when(F.col(flag).isNull(), F.lit(link.reject_reason)) for flag, link in zip(flags, links)
+    marked, known = mark_known(fact, links, round_columns, scale)
+    reasons = [F.when(~is_known, F.lit(link.reject_reason)) for is_known, link in zip(known, links)]
+    attributes = [a for link in links for a in link.attributes]
+    return marked.select(*fact.columns, *attributes, F.coalesce(*reasons).alias(REJECT_REASON))
+
+
+def orphan_count(fact: DataFrame, links: Iterable[DimensionLink]) -> DataFrame:
+    """Rows ``(check_name, orphans)``, one per fact key, from one pass over the facts."""
+    keys_only = [
+        DimensionLink(l.dim.select(l.key).distinct(), l.fact_key, (), l.dim_key) for l in links
     ]
-    return joined.withColumn(REJECT_REASON, F.coalesce(*reasons)).drop(*flags)
+    marked, known = mark_known(fact, keys_only)
+    names = [link.fact_key for link in keys_only]
+    counts = marked.agg(*(F.count_if(~is_known).alias(n) for is_known, n in zip(known, names)))
+    return counts.unpivot([], names, "check_name", "orphans")
 
 
 def accepted(classified: DataFrame) -> DataFrame:

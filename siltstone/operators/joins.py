@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,9 +46,10 @@ def measured_bytes(df: DataFrame) -> int | None:
 def _estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's own size estimate, where the session runs next to its JVM."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # remote sessions expose no plan
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except PySparkAttributeError:  # remote sessions expose no plan
         return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -131,6 +133,8 @@ def join_dimension(
         left, right = fact, F.broadcast(dim)
         pairs = []
     else:
+        if how in ("inner", "left_semi"):
+            fact = fact.dropna(subset=fact_keys)
         left, right = _salted(fact, dim, fact_keys, dim_keys)
         pairs = [left[_SALT] == right[f"{_SALT}_dim"]]
     pairs = [left[f] == right[d] for f, d in zip(fact_keys, dim_keys)] + pairs

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltstone.operators.enrich import DimensionLink, accepted, classify
+from siltstone.operators.enrich import DimensionLink, enrich_star
 from siltstone.operators.joins import join_dimension
 from siltstone.retail.schemas import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES
 
@@ -20,8 +21,38 @@ LINE_COLUMNS = [
 ]
 
 
+_INT, _LONG, _DOUBLE, _TEXT, _TIME = (
+    T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+)
+
+# Declared, so that opening a table runs no job to infer its columns.
+TABLES = {
+    "nation": {"n_nationkey": _INT, "n_name": _TEXT, "n_regionkey": _INT},
+    "customer": {
+        "c_custkey": _LONG, "c_name": _TEXT, "c_nationkey": _INT, "c_acctbal": _DOUBLE, "c_mktsegment": _TEXT,
+    },
+    "part": {
+        "p_partkey": _LONG, "p_name": _TEXT, "p_brand": _TEXT, "p_type": _TEXT, "p_size": _INT,
+        "p_retailprice": _DOUBLE,
+    },
+    "orders": {
+        "o_orderkey": _LONG, "o_custkey": _LONG, "o_orderstatus": _TEXT, "o_totalprice": _DOUBLE,
+        "o_orderdate": _TIME, "o_orderpriority": _TEXT,
+    },
+    "lineitem": {
+        "l_orderkey": _LONG, "l_partkey": _LONG, "l_suppkey": _LONG, "l_linenumber": _INT,
+        "l_quantity": _DOUBLE, "l_extendedprice": _DOUBLE, "l_discount": _DOUBLE, "l_tax": _DOUBLE,
+        "l_returnflag": _TEXT, "l_linestatus": _TEXT, "l_shipdate": _TIME,
+    },
+    "events": {
+        "event_id": _LONG, "ts": _TIME, "user_id": _LONG, "event_type": _TEXT, "value": _DOUBLE, "props": _TEXT,
+    },
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    schema = T.StructType([T.StructField(c, t) for c, t in TABLES[name].items()])
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def margin(price: Column, discount: Column) -> Column:
@@ -98,7 +129,7 @@ def links(spark: SparkSession, sf_dir: str) -> list[DimensionLink]:
 
 def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known lines, enriched, profit rounded to cents (still decimal)."""
-    return accepted(classify(order_lines(spark, sf_dir), links(spark, sf_dir), ["profit"]))
+    return enrich_star(order_lines(spark, sf_dir), links(spark, sf_dir), ["profit"], how="inner")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from siltstone.functions.audit import add_audit_columns
 from siltstone.functions.dates import date_parse_failures, parse_dates
 from siltstone.functions.headers import sanitize_column_names
 from siltstone.functions.money import round_money
-from siltstone.operators import quality
+from siltstone.operators import enrich, quality
 from siltstone.operators.batches import latest_batch
 from siltstone.operators.enrich import REJECT_REASON, classify, enrich_star, rejected
 from siltstone.operators.joins import known_rows, orphans
@@ -25,7 +25,7 @@ from siltstone.plans.workbook_samples import as_workbooks
 from siltstone.retail import reports
 from siltstone.retail.schemas import PROFIT_KEYS
 from siltstone.sinks.ddl import view_columns
-from siltstone.sinks.staging import new_folder
+from siltstone.sinks.staging import new_folder, stage
 from siltstone.sinks.tables import upsert_table, write_parquet, write_table
 from siltstone.sources.files import read_delimited, read_json
 from siltstone.sources.workbooks import decode_workbooks
@@ -149,11 +149,7 @@ def orphans_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphan_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dims = {
-        "customer_id": views.customers(spark, sf_dir),
-        "product_id": views.products(spark, sf_dir),
-    }
-    return quality.orphan_count(views.order_lines(spark, sf_dir), dims)
+    return enrich.orphan_count(views.order_lines(spark, sf_dir), views.links(spark, sf_dir))
 
 
 def known_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +330,8 @@ def upsert_partitions_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _scratch_table(spark, earlier, "batch_day") as table:
         write_table(latest_per_key(earlier, ["user_id"], "ts", ["event_id"]), table)
         upsert_table(today, table, ["user_id"], "ts", ["event_id"])
-        return spark.table(table).select(*EVENT_COLUMNS)
+        # partitions are listed in the catalog, which forgets them with the table
+        return stage(spark.table(table).select(*EVENT_COLUMNS), "upserted")
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
