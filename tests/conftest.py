@@ -30,12 +30,15 @@ def conf(spark):
     def change(**options):
         for name, value in options.items():
             name = name.replace("__", ".")
-            before.setdefault(name, spark.conf.get(name))
+            before.setdefault(name, spark.conf.get(name, None))
             spark.conf.set(name, value)
 
     yield change
     for name, value in before.items():
-        spark.conf.set(name, value)
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
 
 
 @pytest.fixture

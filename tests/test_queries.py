@@ -27,3 +27,16 @@ def test_query_equals_sql(spark, engine, name):
 
 def test_entry_returns_rows(spark):
     assert entry(spark).count() > 0
+
+
+JOINING = [
+    "enrich_left", "gold_profit_summary", "incremental_gold", "known_orders", "orphan_count",
+    "orphans_customer", "quarantine", "silver_order", "upsert_update_insert",
+]
+
+
+@pytest.mark.parametrize("name", JOINING)
+def test_query_equals_sql_where_nothing_may_be_broadcast(spark, engine, conf, name):
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    result = queries()[name](spark, SF_DIR)
+    assert differences(result, engine, oracle_sql()[name]) == []

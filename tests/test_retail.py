@@ -1,0 +1,262 @@
+"""Curation functions, and the jobs from files to reports."""
+
+import json
+import logging
+import uuid
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone import retail
+from siltstone.operators.quality import Rule
+from siltstone.plans.workbook_samples import workbook_bytes
+from siltstone.retail import jobs, schemas
+from siltstone.retail.jobs import RetailConfig
+
+ORDER_COLUMNS = "order_id string, customer_id string, product_id string, year int, profit double, quantity int"
+
+
+# --- functions ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "curate, key", [(retail.enrich_customer, "customer_id"), (retail.enrich_product, "product_id")]
+)
+@pytest.mark.parametrize(
+    "rows, kept",
+    [
+        ([("1", "x"), ("1", "x"), ("2", "y")], 2),
+        ([("1", "x"), ("2", "y")], 2),
+        ([(None, "x"), (None, "y")], 1),
+        ([("1", "x")] * 5, 1),
+    ],
+)
+def test_dimension_has_one_row_per_key(spark, curate, key, rows, kept):
+    assert curate(spark.createDataFrame(rows, f"{key} string, name string")).count() == kept
+
+
+def test_empty_inputs_are_named(spark, customer_df, product_df, order_df):
+    for curate, df, name in [
+        (retail.enrich_customer, customer_df, "customer_df"),
+        (retail.enrich_product, product_df, "product_df"),
+        (lambda df: retail.enrich_orders(df, customer_df, product_df), order_df, "order_df"),
+    ]:
+        with pytest.raises(ValueError, match=f"^DataFrame '{name}' is empty$"):
+            curate(df.where("false"))
+
+
+@pytest.mark.parametrize("customer, product", [("C999", "P999"), (None, None)])
+def test_unknown_keys_give_null_attributes(spark, customer_df, product_df, customer, product):
+    orders = spark.createDataFrame([("O1", customer, product, 2024, 10.0, 1)], ORDER_COLUMNS)
+    (row,) = retail.enrich_orders(orders, customer_df, product_df).collect()
+    assert (row.customer_name, row.country, row.category, row.sub_category) == (None,) * 4
+
+
+def test_orders_are_enriched_and_rounded(spark, customer_df, product_df):
+    orders = spark.createDataFrame([("O1", "C001", "P001", 2024, 100.125, 2)], ORDER_COLUMNS)
+    (row,) = retail.enrich_orders(orders, customer_df, product_df).collect()
+    assert (row.profit, row.customer_name, row.category) == (100.13, "Alice", "Furniture")
+
+
+def test_record_count_is_logged(customer_df, caplog):
+    with caplog.at_level(logging.INFO):
+        retail.log_record_count(customer_df, "Customer")
+    assert "Customer record count: 2" in caplog.text
+
+
+def test_stored_schemas():
+    ddl = {spec.name: spec.schema.simpleString() for spec in schemas.ALL_TABLES}
+    order = (
+        "row_id:int,order_id:string,order_date:date,ship_date:date,ship_mode:string,customer_id:string,"
+        "product_id:string,quantity:int,price:double,discount:double,profit:double,"
+        "load_timestamp:timestamp,load_type:string"
+    )
+    assert ddl["bronze_order"] == f"struct<{order}>"
+    assert ddl["silver_order"] == (
+        f"struct<{order},customer_name:string,country:string,category:string,sub_category:string>"
+    )
+    assert ddl["quarantine_orphan_orders"] == f"struct<{order},reject_reason:string>"
+    assert ddl["silver_product"] == ddl["bronze_product"] == (
+        "struct<product_id:string,category:string,sub_category:string,product_name:string,state:string,"
+        "price_per_product:double,load_timestamp:timestamp,load_type:string>"
+    )
+    assert ddl["gold_profit_summary"] == (
+        "struct<year:int,category:string,sub_category:string,customer_name:string,total_profit:double,"
+        "load_timestamp:timestamp,load_type:string>"
+    )
+    assert ddl["silver_customer"].startswith("struct<customer_id:string,customer_name:string,email:string,")
+    assert all(f.nullable for spec in schemas.ALL_TABLES for f in spec.schema)
+
+
+# --- jobs -----------------------------------------------------------------------------
+
+CUSTOMER_HEADERS = [f.name for f in schemas.customer_schema]
+
+
+def _order(row_id, order_id, customer, product, profit, day="1/2/2016"):
+    return {
+        "Row ID": row_id, "Order ID": order_id, "Order Date": day, "Ship Date": day, "Ship Mode": "Air",
+        "Customer ID": customer, "Product ID": product, "Quantity": 1, "Price": 10.0, "Discount": 0.0,
+        "Profit": profit,
+    }
+
+
+FIRST = [
+    _order(1, "O1", "C1", "P1", 1.005),
+    _order(2, "O1", "C1", "P2", 2.0),
+    _order(3, "O2", "C2", "P1", 4.0, "3/4/2017"),
+    _order(4, "O3", "C9", "P9", 8.0),
+    _order(5, "O4", "C1", "P9", 16.0),
+    _order(6, "O5", None, "P1", 32.0),
+]
+
+
+class Shop:
+    """Source files on disk and a database of its own."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, folder
+        self.config = RetailConfig(
+            database=f"shop_{uuid.uuid4().hex}",
+            customer_file=str(folder / "Customer.xlsx"),
+            product_file=str(folder / "Products.csv"),
+            order_file=str(folder / "Orders.json"),
+        )
+
+    def deliver(self, customers, products, orders):
+        rows = [[c if h == "Customer ID" else f"{n} {h}" for h in CUSTOMER_HEADERS] for c, n in customers]
+        (self.folder / "Customer.xlsx").write_bytes(workbook_bytes(CUSTOMER_HEADERS, rows))
+        lines = ["Product ID,Category,Sub-Category,Product Name,State,Price per product"]
+        lines += [f"{p},{category},Sub,Name,NY,1.5" for p, category in products]
+        (self.folder / "Products.csv").write_text("\n".join(lines))
+        (self.folder / "Orders.json").write_text(json.dumps(orders))
+
+    def run(self, day):
+        return jobs.run_all(self.spark, self.config, datetime(2024, 1, day, tzinfo=timezone.utc))
+
+    def table(self, name):
+        return self.spark.table(f"{self.config.database}.{name}")
+
+    def gold(self):
+        rows = self.table("vw_gold_profit_summary").collect()
+        return {(r.year, r.category, r.customer_name): r.total_profit for r in rows}
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    made = Shop(spark, tmp_path)
+    made.deliver([("C1", "Ann"), ("C1", "Ann"), ("C2", "Bob")], [("P1", "Toys"), ("P2", "Books")], FIRST)
+    yield made
+    spark.sql(f"DROP DATABASE IF EXISTS {made.config.database} CASCADE")
+
+
+def test_first_run(shop):
+    counts = shop.run(1)
+    assert counts == {
+        "bronze_customer": 3, "bronze_product": 2, "bronze_order": 6, "silver_customer": 2,
+        "silver_product": 2, "quarantine_orphan_orders": 3, "silver_order": 3, "gold_profit_summary": 3,
+    }
+    assert shop.gold() == {
+        (2016, "Toys", "Ann Customer Name"): 1.01,
+        (2016, "Books", "Ann Customer Name"): 2.0,
+        (2017, "Toys", "Bob Customer Name"): 4.0,
+    }
+    reasons = {r.row_id: r.reject_reason for r in shop.table("quarantine_orphan_orders").collect()}
+    assert reasons == {4: "unknown customer_id", 5: "unknown product_id", 6: "unknown customer_id"}
+    for table, load_type in [
+        ("bronze_order", "BATCH"), ("silver_order", "INCREMENTAL"), ("silver_customer", "INCREMENTAL"),
+        ("quarantine_orphan_orders", "INCREMENTAL"), ("gold_profit_summary", "FULL"),
+    ]:
+        assert [r.load_type for r in shop.table(table).select("load_type").distinct().collect()] == [load_type]
+    assert "load_type" not in shop.table("vw_silver_order").columns
+    assert shop.table("vw_silver_order").columns[-4:] == ["customer_name", "country", "category", "sub_category"]
+
+
+def test_running_the_same_files_again_changes_only_history(shop):
+    shop.run(1)
+    before = {name: shop.table(name).drop("load_timestamp").collect() for name in ("silver_order", "silver_customer")}
+    gold = shop.gold()
+    shop.run(2)
+    assert shop.gold() == gold
+    for name, rows in before.items():
+        assert sorted(shop.table(name).drop("load_timestamp").collect(), key=str) == sorted(rows, key=str)
+    assert shop.table("bronze_order").count() == 12
+
+
+def test_only_the_newest_batch_is_curated(shop):
+    shop.run(1)
+    shop.deliver([("C9", "Late")], [("P1", "Toys")], [_order(2, "O1", "C1", "P2", 5.0), _order(7, "O9", "C9", "P1", 1.0)])
+    counts = shop.run(2)
+    assert counts["silver_order"] == 4 and shop.table("silver_customer").count() == 3
+    # the corrected line replaces the old one, the others stay
+    assert shop.gold()[(2016, "Books", "Ann Customer Name")] == 5.0
+    # a late customer does not bring back lines quarantined before
+    assert shop.table("quarantine_orphan_orders").where("row_id = 4").count() == 1
+
+
+def test_merging_by_order_keeps_one_line(shop):
+    shop.config = RetailConfig(**{**vars(shop.config), "order_keys": ["order_id"]})
+    shop.run(1)
+    lines = {r.order_id: r.row_id for r in shop.table("silver_order").collect()}
+    assert lines == {"O1": 2, "O2": 3}
+
+
+def test_incremental_summary_equals_recompute(shop):
+    shop.run(1)
+    old = shop.table("silver_order").where("row_id = 2").cache()
+    old.count()
+    shop.deliver([("C1", "Ann")], [("P2", "Books")], [_order(2, "O1", "C1", "P2", 7.5, "1/1/2018")])
+    at = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    jobs.ingest(shop.spark, shop.config, at)
+    jobs.curate_orders(shop.spark, shop.config, at)
+    changed = old.unionByName(shop.table("silver_order").where("row_id = 2"))
+    jobs.aggregate_changes(shop.spark, shop.config, changed, at)
+    incremental = shop.gold()
+    jobs.aggregate(shop.spark, shop.config, at)
+    assert incremental == shop.gold()
+    assert (2016, "Books", "Ann Customer Name") not in incremental
+
+
+def test_reports(shop):
+    shop.run(1)
+    run = lambda name: [tuple(r) for r in jobs.report(shop.spark, shop.config, name).collect()]
+    assert run("profit_by_year") == [(2016, 3.01), (2017, 4.0)]
+    assert run("profit_by_year_category") == [(2016, "Books", 2.0), (2016, "Toys", 1.01), (2017, "Toys", 4.0)]
+    assert run("profit_by_customer") == [("C2", "Bob Customer Name", 4.0), ("C1", "Ann Customer Name", 3.01)]
+    assert run("profit_by_customer_year") == [
+        ("C1", "Ann Customer Name", 2016, 3.01), ("C2", "Bob Customer Name", 2017, 4.0),
+    ]
+
+
+def test_report_sql_runs_on_the_tables(shop):
+    shop.run(1)
+    shop.spark.sql(f"USE {shop.config.database}")
+    rows = shop.spark.sql(
+        "SELECT YEAR(order_date) AS year, ROUND(SUM(profit), 2) AS total_profit "
+        "FROM silver_order GROUP BY year ORDER BY year"
+    ).collect()
+    shop.spark.sql("USE default")
+    assert rows == [(2016, 3.01), (2017, 4.0)]
+
+
+def test_missing_key_stops_the_job(shop):
+    shop.deliver([(None, "Nobody")], [("P1", "Toys")], FIRST)
+    with pytest.raises(ValueError, match="Null values found in column: customer_id"):
+        shop.run(1)
+    assert shop.table("silver_customer").count() == 0
+
+
+def test_empty_file_stops_the_job(shop):
+    shop.deliver([("C1", "Ann")], [], FIRST)
+    with pytest.raises(ValueError, match="DataFrame 'Product' is empty"):
+        shop.run(1)
+
+
+def test_ingest_rules_stop_the_job(shop):
+    no_loss = Rule("no_loss", "profit", F.col("profit") < 0, "Sold at a loss")
+    shop.config = RetailConfig(**{**vars(shop.config), "ingest_rules": [no_loss]})
+    shop.deliver([("C1", "Ann")], [("P1", "Toys")], [_order(1, "O1", "C1", "P1", -1.0)])
+    with pytest.raises(ValueError, match="Sold at a loss"):
+        shop.run(1)
+    assert shop.table("bronze_order").count() == 0
