@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +16,17 @@ REJECT_REASON = "reject_reason"
 
 @dataclass(frozen=True)
 class DimensionLink:
-    """How a fact refers to a dimension that holds one row per ``dim_key``."""
+    """How a fact refers to a dimension that holds one row per ``dim_key``.
+
+    ``key_rows`` is a cheaper place to look for heavy keys (see ``join_dimension``).
+    """
 
     dim: DataFrame
     fact_key: str
     attributes: Sequence[str] = ()
     dim_key: str | None = None
     reason: str | None = None
+    key_rows: DataFrame | None = None
 
     @property
     def key(self) -> str:
@@ -44,9 +48,12 @@ def enrich_star(
 
     An unknown key gives NULL attributes, or with ``how="inner"`` drops the row.
     """
+    bare = fact
     for link in links:
         attributes = link.dim.select(link.key, *link.attributes)
-        fact = join_dimension(fact, attributes, {link.fact_key: link.key}, how)
+        # heavy keys are looked for in the facts before any join, not in the chain so far
+        key_rows = bare if link.key_rows is None else link.key_rows
+        fact = join_dimension(fact, attributes, {link.fact_key: link.key}, how, key_rows)
     rounded = {c: round_money(F.col(c), fact.schema[c].dataType, scale) for c in round_columns}
     return fact.withColumns(rounded) if rounded else fact
 
@@ -57,11 +64,10 @@ def mark_known(
     """Enriched facts, and per link a condition that its key is known. One join per dimension."""
     flags = [f"__known_{n}" for n in range(len(links))]
     marked = [
-        DimensionLink(
-            link.dim.select(link.key, *link.attributes).withColumn(flag, F.lit(True)),
-            link.fact_key,
-            [*link.attributes, flag],
-            link.dim_key,
+        replace(
+            link,
+            dim=link.dim.select(link.key, *link.attributes).withColumn(flag, F.lit(True)),
+            attributes=[*link.attributes, flag],
         )
         for flag, link in zip(flags, links)
     ]
@@ -86,9 +92,7 @@ def classify(
 
 def orphan_count(fact: DataFrame, links: Iterable[DimensionLink]) -> DataFrame:
     """Rows ``(check_name, orphans)``, one per fact key, from one pass over the facts."""
-    keys_only = [
-        DimensionLink(l.dim.select(l.key).distinct(), l.fact_key, (), l.dim_key) for l in links
-    ]
+    keys_only = [replace(l, dim=l.dim.select(l.key).distinct(), attributes=()) for l in links]
     marked, known = mark_known(fact, keys_only)
     names = [link.fact_key for link in keys_only]
     counts = marked.agg(*(F.count_if(~is_known).alias(n) for is_known, n in zip(known, names)))
@@ -112,6 +116,5 @@ def split_orphans(
     Both frames come from one plan. Write the classified frame once
     (``classify``) when both are needed and the fact is large.
     """
-    keyed = [DimensionLink(l.dim, l.fact_key, (), l.dim_key, l.reason) for l in links]
-    classified = classify(fact, keyed)
+    classified = classify(fact, [replace(link, attributes=()) for link in links])
     return accepted(classified), rejected(classified, fact.columns)

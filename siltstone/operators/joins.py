@@ -85,7 +85,9 @@ def hot_key_hashes(df: DataFrame, keys: list[str], fan_out: int) -> Column:
     return sketch.select(heavy.alias("hot")).scalar()
 
 
-def _salted(fact: DataFrame, dim: DataFrame, keys: list[str], dim_keys: list[str]):
+def _salted(
+    fact: DataFrame, dim: DataFrame, keys: list[str], dim_keys: list[str], key_rows: DataFrame
+) -> tuple[DataFrame, DataFrame]:
     """Give each hot fact key ``fan_out`` salts, and its dimension row one copy per salt.
 
     The salt is the map partition's number: it needs no further column, it is
@@ -94,22 +96,28 @@ def _salted(fact: DataFrame, dim: DataFrame, keys: list[str], dim_keys: list[str
     nothing, so they are spread too.
     """
     fan_out = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = hot_key_hashes(fact, keys, fan_out)
+    # equal keys hash alike only under one type
+    types = [fact.schema[k].dataType for k in keys]
+    key_rows = key_rows.select(*(F.col(k).cast(t).alias(k) for k, t in zip(keys, types)))
+    hot = hot_key_hashes(key_rows, keys, fan_out)
     unmatched = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     spread = F.pmod(F.spark_partition_id(), F.lit(fan_out))
     is_hot = F.array_contains(hot, _key_hash(keys))
     fact = fact.withColumn(_SALT, F.when(unmatched | is_hot, spread).otherwise(F.lit(0)))
     all_salts = F.sequence(F.lit(0), F.lit(fan_out - 1))
     one_salt = F.array(F.lit(0))
-    # hash the dimension key under the fact key's type, or equal keys of unequal width would differ
-    typed = [F.col(d).cast(fact.schema[k].dataType) for k, d in zip(keys, dim_keys)]
-    dim_hot = F.array_contains(hot, F.xxhash64(*typed))
+    dim_hash = F.xxhash64(*(F.col(d).cast(t) for d, t in zip(dim_keys, types)))
+    dim_hot = F.array_contains(hot, dim_hash)
     copies = F.explode(F.when(dim_hot, all_salts).otherwise(one_salt))
     return fact, dim.withColumn(f"{_SALT}_dim", copies)
 
 
 def join_dimension(
-    fact: DataFrame, dim: DataFrame, keys: Mapping[str, str], how: str = "left"
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Mapping[str, str],
+    how: str = "left",
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``fact`` to ``dim`` on ``{fact column: dim column}``.
 
@@ -118,7 +126,10 @@ def join_dimension(
     fact columns keep their order and dimension attributes follow.
 
     A dimension below the session's broadcast limit is broadcast. A larger one
-    is shuffled, with keys too heavy for one partition salted.
+    is shuffled, with keys too heavy for one partition salted. Heavy keys are
+    looked for in ``key_rows``, by default the fact itself; a frame with the
+    same key columns that is cheaper to read does as well, since the answer
+    only decides where rows are processed.
     """
     fact_keys, renamed = list(keys), {d: f"__dim_{d}" for d in keys.values()}
     clash = sorted(set(fact.columns) & (set(dim.columns) - set(renamed)))
@@ -135,21 +146,33 @@ def join_dimension(
     else:
         if how in ("inner", "left_semi"):
             fact = fact.dropna(subset=fact_keys)
-        left, right = _salted(fact, dim, fact_keys, dim_keys)
+        left, right = _salted(fact, dim, fact_keys, dim_keys, fact if key_rows is None else key_rows)
         pairs = [left[_SALT] == right[f"{_SALT}_dim"]]
     pairs = [left[f] == right[d] for f, d in zip(fact_keys, dim_keys)] + pairs
     condition = reduce(lambda a, b: a & b, pairs)
     return left.join(right, condition, how).drop(_SALT, f"{_SALT}_dim", *dim_keys)
 
 
-def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None) -> DataFrame:
+def orphans(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str | None = None,
+    key_rows: DataFrame | None = None,
+) -> DataFrame:
     """Fact rows whose key is unknown to the dimension; a NULL key is unknown."""
-    return join_dimension(fact, dim, {fact_key: dim_key or fact_key}, "left_anti")
+    return join_dimension(fact, dim, {fact_key: dim_key or fact_key}, "left_anti", key_rows)
 
 
-def known_rows(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None) -> DataFrame:
+def known_rows(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str | None = None,
+    key_rows: DataFrame | None = None,
+) -> DataFrame:
     """Fact rows whose key is known; a dimension with repeated keys adds no rows."""
-    return join_dimension(fact, dim, {fact_key: dim_key or fact_key}, "left_semi")
+    return join_dimension(fact, dim, {fact_key: dim_key or fact_key}, "left_semi", key_rows)
 
 
 def null_safe_match(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> Column:

@@ -62,6 +62,20 @@ def margin(price: Column, discount: Column) -> Column:
     )
 
 
+def _guest() -> Column:
+    return (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "4-NOT SPECIFIED")
+
+
+def customer_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers of all orders: shows heavy customers without joining the lines."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(F.when(~_guest(), F.col("o_custkey")).alias("customer_id"))
+
+
+def product_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"))
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
@@ -69,14 +83,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = join_dimension(
         table(spark, sf_dir, "lineitem"), orders, {"l_orderkey": "o_orderkey"}, "inner"
     )
-    guest = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "4-NOT SPECIFIED")
     return lines.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_suppkey").alias("supplier_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
-        F.when(~guest, F.col("o_custkey")).alias("customer_id"),
+        F.when(~_guest(), F.col("o_custkey")).alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
@@ -122,8 +135,18 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def links(spark: SparkSession, sf_dir: str) -> list[DimensionLink]:
     return [
-        DimensionLink(customers(spark, sf_dir), "customer_id", CUSTOMER_ATTRIBUTES),
-        DimensionLink(products(spark, sf_dir), "product_id", PRODUCT_ATTRIBUTES),
+        DimensionLink(
+            customers(spark, sf_dir),
+            "customer_id",
+            CUSTOMER_ATTRIBUTES,
+            key_rows=customer_key_rows(spark, sf_dir),
+        ),
+        DimensionLink(
+            products(spark, sf_dir),
+            "product_id",
+            PRODUCT_ATTRIBUTES,
+            key_rows=product_key_rows(spark, sf_dir),
+        ),
     ]
 
 

@@ -141,11 +141,13 @@ def quality_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphans_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(orphans(views.order_lines(spark, sf_dir), views.customers(spark, sf_dir), "customer_id"))
+    lines, (link, _) = views.order_lines(spark, sf_dir), views.links(spark, sf_dir)
+    return _plain(orphans(lines, link.dim, link.fact_key, key_rows=link.key_rows))
 
 
 def orphans_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(orphans(views.order_lines(spark, sf_dir), views.products(spark, sf_dir), "product_id"))
+    lines, (_, link) = views.order_lines(spark, sf_dir), views.links(spark, sf_dir)
+    return _plain(orphans(lines, link.dim, link.fact_key, key_rows=link.key_rows))
 
 
 def orphan_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,8 +155,10 @@ def orphan_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = known_rows(views.order_lines(spark, sf_dir), views.customers(spark, sf_dir), "customer_id")
-    return _plain(known_rows(lines, views.products(spark, sf_dir), "product_id"))
+    lines = views.order_lines(spark, sf_dir)
+    for link in views.links(spark, sf_dir):
+        lines = known_rows(lines, link.dim, link.fact_key, key_rows=link.key_rows)
+    return _plain(lines)
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,6 +67,7 @@ ORDER_DATES = ["order_date", "ship_date"]
 CUSTOMER_ATTRIBUTES = ["customer_name", "country"]
 PRODUCT_ATTRIBUTES = ["category", "sub_category"]
 PROFIT_KEYS = ["year", "category", "sub_category", "customer_name"]
+BATCH_COLUMN = "batch_id"
 ORDER_LINE_KEYS = ["order_id", "row_id"]
 
 _AUDIT = _schema({"load_timestamp": T.TimestampType(), "load_type": _TEXT})
@@ -91,9 +92,14 @@ _customer = _stored(customer_schema)
 _product = _stored(product_schema)
 _order = _stored(order_schema, ORDER_DATES)
 
-bronze_customer = TableSpec("bronze_customer", _customer)
-bronze_product = TableSpec("bronze_product", _product)
-bronze_order = TableSpec("bronze_order", _order)
+def _raw(name: str, schema: T.StructType) -> TableSpec:
+    """Raw history, one partition per batch: the newest batch is read without the older ones."""
+    return TableSpec(name, _extended(schema, {BATCH_COLUMN: _TEXT}), partition_by=[BATCH_COLUMN])
+
+
+bronze_customer = _raw("bronze_customer", _customer)
+bronze_product = _raw("bronze_product", _product)
+bronze_order = _raw("bronze_order", _order)
 
 silver_customer = TableSpec(
     "silver_customer", _customer, cluster_by=["customer_id", "country"], view="vw_silver_customer"

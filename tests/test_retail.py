@@ -3,7 +3,8 @@
 import json
 import logging
 import uuid
-from datetime import datetime, timezone
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,12 +73,13 @@ def test_stored_schemas():
         "product_id:string,quantity:int,price:double,discount:double,profit:double,"
         "load_timestamp:timestamp,load_type:string"
     )
-    assert ddl["bronze_order"] == f"struct<{order}>"
+    assert ddl["bronze_order"] == f"struct<{order},batch_id:string>"
     assert ddl["silver_order"] == (
         f"struct<{order},customer_name:string,country:string,category:string,sub_category:string>"
     )
     assert ddl["quarantine_orphan_orders"] == f"struct<{order},reject_reason:string>"
-    assert ddl["silver_product"] == ddl["bronze_product"] == (
+    assert ddl["bronze_product"] == ddl["silver_product"][:-1] + ",batch_id:string>"
+    assert ddl["silver_product"] == (
         "struct<product_id:string,category:string,sub_category:string,product_name:string,state:string,"
         "price_per_product:double,load_timestamp:timestamp,load_type:string>"
     )
@@ -195,8 +197,28 @@ def test_only_the_newest_batch_is_curated(shop):
     assert shop.table("quarantine_orphan_orders").where("row_id = 4").count() == 1
 
 
+def test_partitioned_orders_give_the_same_tables(shop):
+    shop.run(1)
+    orders, gold = shop.table("vw_silver_order").collect(), shop.gold()
+    shop.config = replace(
+        shop.config, database=f"shop_{uuid.uuid4().hex}", partition_by={"silver_order": ["order_date"]}
+    )
+    for day in (1, 2):
+        shop.run(day)
+    assert sorted(shop.table("vw_silver_order").collect(), key=str) == sorted(orders, key=str)
+    assert shop.gold() == gold
+    partitions = shop.spark.sql(f"SHOW PARTITIONS {shop.config.database}.silver_order").collect()
+    assert sorted(r[0] for r in partitions) == ["order_date=2016-02-01", "order_date=2017-04-03"]
+
+
+def test_batches_sort_by_time():
+    early = datetime(2024, 1, 1, 23, 30, tzinfo=timezone(timedelta(hours=-2)))
+    late = datetime(2024, 1, 2, 2, 0, tzinfo=timezone.utc)
+    assert jobs.batch_name(early) < jobs.batch_name(late)
+
+
 def test_merging_by_order_keeps_one_line(shop):
-    shop.config = RetailConfig(**{**vars(shop.config), "order_keys": ["order_id"]})
+    shop.config = replace(shop.config, order_keys=["order_id"])
     shop.run(1)
     lines = {r.order_id: r.row_id for r in shop.table("silver_order").collect()}
     assert lines == {"O1": 2, "O2": 3}
@@ -255,7 +277,7 @@ def test_empty_file_stops_the_job(shop):
 
 def test_ingest_rules_stop_the_job(shop):
     no_loss = Rule("no_loss", "profit", F.col("profit") < 0, "Sold at a loss")
-    shop.config = RetailConfig(**{**vars(shop.config), "ingest_rules": [no_loss]})
+    shop.config = replace(shop.config, ingest_rules=[no_loss])
     shop.deliver([("C1", "Ann")], [("P1", "Toys")], [_order(1, "O1", "C1", "P1", -1.0)])
     with pytest.raises(ValueError, match="Sold at a loss"):
         shop.run(1)
