@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 HOT_KEYS = 64
 _SKETCH_COUNTERS = 4096
 
+# Frames are measured while their inputs are at most this many times the broadcast limit.
+_MEASURED_INPUT = 8
+
 _SALT = "__salt"
 _BYTE_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
 
@@ -43,33 +46,53 @@ def measured_bytes(df: DataFrame) -> int | None:
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's own size estimate, where the session runs next to its JVM."""
+def _estimated_bytes(df: DataFrame) -> tuple[int, int] | None:
+    """The optimizer's size estimates: of the frame, and of all its inputs together."""
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
     except PySparkAttributeError:  # remote sessions expose no plan
         return None
-    return int(str(plan.stats().sizeInBytes()))
+    leaves = plan.collectLeaves()
+    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
+    return int(str(plan.stats().sizeInBytes())), sum(int(str(size)) for size in sizes)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the frame is known to be below the session's broadcast limit.
 
-    The estimate costs no job but is a product over joins, so a small joined
-    dimension looks huge; only then is the frame measured.
+    The estimate costs no job, but Spark multiplies sizes over a join, so a
+    small joined dimension looks huge. Such a frame is measured, provided its
+    inputs are small enough for that to cost next to nothing.
     """
     limit = broadcast_limit(df)
-    if limit < 0:
+    estimates = _estimated_bytes(df)
+    if limit < 0 or estimates is None:
         return False
-    estimate = _estimated_bytes(df)
-    if estimate is not None and estimate <= limit:
+    estimate, inputs = estimates
+    if estimate <= limit:
         return True
+    if inputs > _MEASURED_INPUT * limit:
+        return False
     size = measured_bytes(df)
     return size is not None and size <= limit
 
 
-def _key_hash(columns: list[str]) -> Column:
-    return F.xxhash64(*(F.col(c) for c in columns))
+def _key_hash(df: DataFrame, keys: list[str]) -> Column:
+    """Integers of any width hash as longs, so that equal keys hash alike."""
+    return F.xxhash64(
+        *(
+            F.col(k).cast("long") if isinstance(df.schema[k].dataType, T.IntegralType) else F.col(k)
+            for k in keys
+        )
+    )
+
+
+def _check_key_types(fact: DataFrame, dim: DataFrame, keys: Mapping[str, str]) -> None:
+    for f, d in keys.items():
+        left, right = fact.schema[f].dataType, dim.schema[d].dataType
+        integers = isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType)
+        if left != right and not integers:
+            raise ValueError(f"Cast {f} ({left.simpleString()}) or {d} ({right.simpleString()}): key types differ")
 
 
 def hot_key_hashes(df: DataFrame, keys: list[str], fan_out: int) -> Column:
@@ -77,7 +100,7 @@ def hot_key_hashes(df: DataFrame, keys: list[str], fan_out: int) -> Column:
 
     Reads the key columns only; each task sends one sketch of fixed size.
     """
-    sketch = df.select(_key_hash(keys).alias("h")).agg(
+    sketch = df.select(_key_hash(df, keys).alias("h")).agg(
         F.expr(f"approx_top_k(h, {HOT_KEYS}, {_SKETCH_COUNTERS})").alias("top"),
         F.count("*").alias("rows"),
     )
@@ -96,18 +119,14 @@ def _salted(
     nothing, so they are spread too.
     """
     fan_out = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # equal keys hash alike only under one type
-    types = [fact.schema[k].dataType for k in keys]
-    key_rows = key_rows.select(*(F.col(k).cast(t).alias(k) for k, t in zip(keys, types)))
     hot = hot_key_hashes(key_rows, keys, fan_out)
     unmatched = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     spread = F.pmod(F.spark_partition_id(), F.lit(fan_out))
-    is_hot = F.array_contains(hot, _key_hash(keys))
+    is_hot = F.array_contains(hot, _key_hash(fact, keys))
     fact = fact.withColumn(_SALT, F.when(unmatched | is_hot, spread).otherwise(F.lit(0)))
     all_salts = F.sequence(F.lit(0), F.lit(fan_out - 1))
     one_salt = F.array(F.lit(0))
-    dim_hash = F.xxhash64(*(F.col(d).cast(t) for d, t in zip(dim_keys, types)))
-    dim_hot = F.array_contains(hot, dim_hash)
+    dim_hot = F.array_contains(hot, _key_hash(dim, dim_keys))
     copies = F.explode(F.when(dim_hot, all_salts).otherwise(one_salt))
     return fact, dim.withColumn(f"{_SALT}_dim", copies)
 
@@ -131,6 +150,7 @@ def join_dimension(
     same key columns that is cheaper to read does as well, since the answer
     only decides where rows are processed.
     """
+    _check_key_types(fact, dim, keys)
     fact_keys, renamed = list(keys), {d: f"__dim_{d}" for d in keys.values()}
     clash = sorted(set(fact.columns) & (set(dim.columns) - set(renamed)))
     if clash and how in ("left", "inner"):

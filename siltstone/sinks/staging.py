@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,38 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the frame once and read it back, so that later steps share one result."""
     folder = new_folder(df.sparkSession, label)
+    return _written(df, folder, partition_by)
+
+
+def _written(df: DataFrame, folder: str, partition_by: Sequence[str]) -> DataFrame:
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """As ``stage``, for a result that is only needed inside the block."""
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    try:
+        yield _written(df, folder, partition_by)
+    finally:
+        delete_folder(spark, folder)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def list_folder(spark: SparkSession, folder: str) -> list[str]:
+    files, path = _file_system(spark, folder)
+    if not files.exists(path):
+        return []
+    return [status.getPath().toString() for status in files.listStatus(path)]
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)

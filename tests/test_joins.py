@@ -61,8 +61,8 @@ def test_hot_and_missing_keys_are_spread_over_tasks(skewed, dim, conf):
 
 def test_hot_keys_lists_heavy_keys_only(skewed):
     hot = skewed.select(joins.hot_key_hashes(skewed, ["k"], 8).alias("hot")).first().hot
-    heavy = skewed.select(F.xxhash64(F.lit(7).cast("int"))).first()[0]
-    missing = skewed.select(F.xxhash64(F.lit(None).cast("int"))).first()[0]
+    heavy = skewed.select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
+    missing = skewed.select(F.xxhash64(F.lit(None).cast("long"))).first()[0]
     assert sorted(hot) == sorted([heavy, missing])
 
 
@@ -76,13 +76,33 @@ def test_composite_key_of_different_width(spark, conf):
     assert joined.where("name = 'x'").count() == 4000
 
 
+def test_keys_of_different_kind_are_refused(spark, dim):
+    fact = spark.createDataFrame([("01",)], "k string")
+    with pytest.raises(ValueError, match="key types differ"):
+        joins.join_dimension(fact, dim, {"k": "dim_key"})
+
+
+def test_wider_dimension_keys_do_not_overflow(spark, conf):
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    fact = spark.range(100).selectExpr("CAST(5 AS INT) AS k", "id")
+    dim = spark.createDataFrame([(5, "x"), (2**40, "y")], "dim_key bigint, name string")
+    assert joins.join_dimension(fact, dim, {"k": "dim_key"}, "inner").count() == 100
+
+
 def test_small_joined_dimension_is_measured_and_broadcast(spark, dim):
     other = spark.range(2500).select(F.col("id").alias("other_key"), F.lit("x").alias("extra"))
     wide = dim.join(other, dim.dim_key == other.other_key).drop("other_key")
-    assert joins._estimated_bytes(wide) > joins.broadcast_limit(wide)
+    estimate, inputs = joins._estimated_bytes(wide)
+    assert estimate > joins.broadcast_limit(wide) > inputs
     assert joins.fits_broadcast(wide)
 
 
+def test_large_inputs_are_not_measured(spark, dim, conf, monkeypatch):
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "1kb"})
+    monkeypatch.setattr(joins, "measured_bytes", lambda df: pytest.fail("measured"))
+    assert not joins.fits_broadcast(dim.join(dim.withColumnRenamed("name", "other"), "dim_key"))
+
+
 def test_large_dimension_is_not_broadcast(dim, conf):
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "1kb"})
     assert joins.broadcast_limit(dim) == 1024

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siltstone.sinks import tables
 from siltstone.sinks.ddl import TableSpec, create_all, create_view, view_columns
-from siltstone.sinks.staging import shared_folder, stage
+from siltstone.sinks.staging import list_folder, shared_folder, stage, staged
 from siltstone.sinks.tables import table_info, upsert_table, write_parquet, write_table
 
 
@@ -249,6 +249,23 @@ def test_stage_uses_the_cluster_folder(spark):
     assert folder in staged.inputFiles()[0]
 
 
+def test_staged_rows_are_removed_afterwards(spark):
+    with staged(spark.createDataFrame([("a",)], "k string"), "rows") as rows:
+        file = rows.inputFiles()[0]
+        assert rows.collect() == [("a",)] and list_folder(spark, file.rpartition("/")[0])
+    assert list_folder(spark, file.rpartition("/")[0]) == []
+
+
+def test_superseded_contents_can_be_removed(spark, new_table):
+    table = new_table()
+    assert tables.remove_superseded(spark, table) == 0
+    for n in range(3):
+        write_table(spark.createDataFrame([("a", n)], "k string, v int"), table)
+    assert tables.remove_superseded(spark, table) == 2
+    assert tables.remove_superseded(spark, table) == 0
+    assert _rows(spark, table) == [("a", 2)]
+
+
 class _Session:
     def __init__(self, **settings):
         self.conf = {name.replace("_", "."): value for name, value in settings.items()}
