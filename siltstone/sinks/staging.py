@@ -39,9 +39,22 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     return _written(df, folder, partition_by)
 
 
+@contextmanager
+def session_option(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Set an option for the writes inside the block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _written(df: DataFrame, folder: str, partition_by: Sequence[str]) -> DataFrame:
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(folder)
+    # a task writes its few partitions side by side; otherwise Spark sorts every task's rows first
+    with session_option(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "16"):
+        writer.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)
 
 
