@@ -66,6 +66,7 @@ order_schema = _schema(
 ORDER_DATES = ["order_date", "ship_date"]
 CUSTOMER_ATTRIBUTES = ["customer_name", "country"]
 PRODUCT_ATTRIBUTES = ["category", "sub_category"]
+PROFIT_PLACES = 2
 PROFIT_KEYS = ["year", "category", "sub_category", "customer_name"]
 BATCH_COLUMN = "batch_id"
 ORDER_LINE_KEYS = ["order_id", "row_id"]

@@ -74,7 +74,7 @@ def test_audit_defaults_and_guard(spark):
 
 
 @pytest.mark.parametrize(
-    "value, rounded", [(1.005, 1.01), (-1.005, -1.01), (100.125, 100.13), (2.5, 2.5), (None, None)]
+    "value, rounded", [(1.005, 1.01), (-1.005, -1.01), (100.125, 100.13), (2.5, 2.5), (1.00499999999999, 1.0), (None, None)]
 )
 def test_round_money(spark, value, rounded):
     df = spark.createDataFrame([(value,)], "v double")
