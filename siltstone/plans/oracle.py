@@ -156,6 +156,7 @@ ORACLE_SQL: dict[str, str] = {
     "gold_profit_summary": _GOLD,
     "incremental_gold": _GOLD,
     "view_gold_profit_summary": _GOLD,
+    "retail_run": _GOLD,
     "enrich_left": f"""{_ENRICHED}
 SELECT {_LINE.replace("CAST(profit", "CAST(ROUND(profit, 2)")}, customer_name, country, category, sub_category
 FROM enriched""",

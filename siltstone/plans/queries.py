@@ -21,6 +21,7 @@ from siltstone.operators.keys import dedupe, duplicate_keys, latest_per_key
 from siltstone.operators.merge import merge_rows
 from siltstone.operators.rollup import incremental_rollup, rollup_measure
 from siltstone.plans import model_views as views
+from siltstone.plans.retail_run import retail_run
 from siltstone.plans.workbook_samples import as_workbooks
 from siltstone.retail import reports
 from siltstone.retail.schemas import PROFIT_KEYS
@@ -403,4 +404,5 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "xlsx_scan": xlsx_scan,
+    "retail_run": retail_run,
 }

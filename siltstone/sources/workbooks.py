@@ -130,6 +130,10 @@ def decode_workbooks(
 def read_workbooks(
     spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None
 ) -> DataFrame:
-    """All ``.xlsx`` files under ``path`` (a file, a folder or a pattern)."""
-    files = spark.read.format("binaryFile").load(path)
+    """All workbooks under ``path`` (a file, a folder or a pattern).
+
+    A task receives files in batches of at most
+    ``spark.sql.execution.arrow.maxBytesPerBatch``.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xls[xm]").load(path)
     return decode_workbooks(files, schema, sheet)

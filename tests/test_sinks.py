@@ -1,10 +1,11 @@
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone.sinks import tables
-from siltstone.sinks.ddl import TableSpec, create_all, create_view, view_columns
+from siltstone.sinks.ddl import TableSpec, create_all, create_view, table_ddl, view_columns
 from siltstone.sinks.staging import list_folder, shared_folder, stage, staged
 from siltstone.sinks.tables import table_info, upsert_table, write_parquet, write_table
 
@@ -182,9 +183,9 @@ def test_overwrite_partitioned_table_drops_absent_partitions(spark, new_table):
     assert _rows(spark, table) == [("b", 1, "p2")]
 
 
-@pytest.mark.parametrize("newer, delete", [(False, None), (True, None), (True, "op = 'd'")])
-def test_merge_statement_is_valid_sql(spark, new_table, newer, delete):
-    statement = tables.merge_statement(new_table(), ["k", "v"], "v", newer, delete)
+@pytest.mark.parametrize("newer, flag", [(None, None), ("v", None), ("v", "__delete")])
+def test_merge_statement_is_valid_sql(spark, new_table, newer, flag):
+    statement = tables.merge_statement(new_table(), ["k", "v"], newer, flag)
     source = spark.createDataFrame([("a", 1, False)], "k string, v int, __delete boolean")
     # Parquet tables cannot merge, which Spark says only after it understood the statement
     with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
@@ -230,6 +231,36 @@ def test_ddl(spark):
     spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
+def test_clustering_clause_is_for_delta(spark):
+    schema = spark.createDataFrame([], "k string, d date").schema
+    spec = TableSpec("t", schema, cluster_by=["k", "d"])
+    assert "CLUSTER BY (k, d)" in table_ddl("db", spec, "delta")
+    assert "CLUSTER BY" not in table_ddl("db", spec)
+    assert "'siltstone.cluster_by' = 'k,d'" in table_ddl("db", spec)
+    assert "PARTITIONED BY (d)" in table_ddl("db", replace(spec, partition_by=["d"]), "delta")
+
+
+def test_emptied_partition_of_an_external_table_stays_empty(spark, tmp_path):
+    spark.sql(
+        f"CREATE TABLE outside (k string, v int, part string) USING parquet PARTITIONED BY (part) "
+        f"LOCATION '{tmp_path / 'outside'}'"
+    )
+    write_table(spark.createDataFrame([("a", "p1", 1), ("b", "p2", 1)], UPSERT_COLUMNS), "outside")
+    upsert_table(spark.createDataFrame([("a", "p2", 2)], UPSERT_COLUMNS), "outside", ["k"], "v")
+    write_table(spark.createDataFrame([("c", "p1", 3)], UPSERT_COLUMNS), "outside", "append")
+    found = _rows(spark, "outside")
+    spark.sql("DROP TABLE outside")
+    assert found == [("a", 2, "p2"), ("b", 1, "p2"), ("c", 3, "p1")]
+
+
+def test_upsert_over_many_partitions(spark, new_table):
+    table = new_table("k string, v int, part string", "part")
+    rows = spark.range(300).selectExpr("CAST(id AS STRING) AS k", "CAST(id % 150 AS STRING) AS part", "1 AS v")
+    write_table(rows, table)
+    upsert_table(rows.withColumn("v", F.lit(2)), table, ["k"], "v")
+    assert spark.table(table).agg(F.sum("v"), F.count("*")).first() == (600, 300)
+
+
 def test_view_follows_a_replaced_table(spark):
     database = f"db_{uuid.uuid4().hex}"
     schema = spark.createDataFrame([], "k string, load_type string").schema
