@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# As the decoder, the encoder travels with the query.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The smallest set of parts a valid workbook needs.
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"

@@ -10,15 +10,20 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The decoder travels to the executors with the query; they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # XML namespaces and part names of the Office Open XML format.
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
