@@ -16,18 +16,22 @@ from pyspark.sql import types as T
 HOT_KEYS = 64
 _SKETCH_COUNTERS = 4096
 
-# Frames are measured while their inputs are at most this many times the broadcast limit.
-_MEASURED_INPUT = 8
+# The session's threshold is meant for file sizes; the rows of such files take several
+# times the space, and rows are what is measured here.
+_ROWS_PER_FILE_BYTE = 8
 
 _SALT = "__salt"
 _BYTE_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` of the session, in bytes (-1 is off)."""
+    """Largest size of broadcast rows: 80 MB by default, negative if broadcasting is off.
+
+    Follows ``spark.sql.autoBroadcastJoinThreshold`` of the session.
+    """
     setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", setting).groups()
-    return int(number) * _BYTE_UNITS[unit.lower()]
+    return int(number) * _BYTE_UNITS[unit.lower()] * _ROWS_PER_FILE_BYTE
 
 
 def measured_bytes(df: DataFrame) -> int | None:
@@ -46,32 +50,26 @@ def measured_bytes(df: DataFrame) -> int | None:
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
-def _estimated_bytes(df: DataFrame) -> tuple[int, int] | None:
-    """The optimizer's size estimates: of the frame, and of all its inputs together."""
+def _input_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size of everything the frame reads: file sizes, before decompression."""
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
     except PySparkAttributeError:  # remote sessions expose no plan
         return None
     leaves = plan.collectLeaves()
-    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-    return int(str(plan.stats().sizeInBytes())), sum(int(str(size)) for size in sizes)
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the frame is known to be below the session's broadcast limit.
+    """Whether the frame's rows are proven to be below the broadcast limit.
 
-    The estimate costs no job, but Spark multiplies sizes over a join, so a
-    small joined dimension looks huge. Such a frame is measured, provided its
-    inputs are small enough for that to cost next to nothing.
+    File sizes prove nothing, as a small file can hold many equal rows, so the
+    frame is measured. They do say whether measuring is worth its cost: large
+    inputs are taken to be too large without a look.
     """
     limit = broadcast_limit(df)
-    estimates = _estimated_bytes(df)
-    if limit < 0 or estimates is None:
-        return False
-    estimate, inputs = estimates
-    if estimate <= limit:
-        return True
-    if inputs > _MEASURED_INPUT * limit:
+    inputs = _input_bytes(df)
+    if limit < 0 or inputs is None or inputs > limit:
         return False
     size = measured_bytes(df)
     return size is not None and size <= limit
@@ -144,7 +142,7 @@ def join_dimension(
     dimension row per key. The dimension's own key columns are not returned;
     fact columns keep their order and dimension attributes follow.
 
-    A dimension below the session's broadcast limit is broadcast. A larger one
+    A dimension measured to be below the broadcast limit is broadcast. A larger one
     is shuffled, with keys too heavy for one partition salted. Heavy keys are
     looked for in ``key_rows``, by default the fact itself; a frame with the
     same key columns that is cheaper to read does as well, since the answer

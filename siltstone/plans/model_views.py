@@ -99,10 +99,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customers = join_dimension(
-        table(spark, sf_dir, "customer"), nations, {"c_nationkey": "n_nationkey"}, "left"
-    )
+    # 25 nations at every scale
+    nations = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    customers = table(spark, sf_dir, "customer")
+    customers = customers.join(nations, customers.c_nationkey == nations.n_nationkey, "left")
     return customers.select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),

@@ -89,23 +89,29 @@ def test_wider_dimension_keys_do_not_overflow(spark, conf):
     assert joins.join_dimension(fact, dim, {"k": "dim_key"}, "inner").count() == 100
 
 
-def test_small_joined_dimension_is_measured_and_broadcast(spark, dim):
+def test_small_joined_dimension_is_broadcast(spark, dim):
     other = spark.range(2500).select(F.col("id").alias("other_key"), F.lit("x").alias("extra"))
     wide = dim.join(other, dim.dim_key == other.other_key).drop("other_key")
-    estimate, inputs = joins._estimated_bytes(wide)
-    assert estimate > joins.broadcast_limit(wide) > inputs
     assert joins.fits_broadcast(wide)
 
 
+def test_small_files_may_hold_too_much(spark, tmp_path):
+    path = str(tmp_path / "equal")
+    spark.range(800_000).selectExpr("1 AS k", "repeat('x', 100) AS v").coalesce(1).write.parquet(path)
+    equal = spark.read.parquet(path)
+    assert joins._input_bytes(equal) < 1_000_000
+    assert not joins.fits_broadcast(equal)
+
+
 def test_large_inputs_are_not_measured(spark, dim, conf, monkeypatch):
-    conf(**{"spark.sql.autoBroadcastJoinThreshold": "1kb"})
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "100b"})
     monkeypatch.setattr(joins, "measured_bytes", lambda df: pytest.fail("measured"))
-    assert not joins.fits_broadcast(dim.join(dim.withColumnRenamed("name", "other"), "dim_key"))
+    assert not joins.fits_broadcast(dim)
 
 
 def test_large_dimension_is_not_broadcast(dim, conf):
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "1kb"})
-    assert joins.broadcast_limit(dim) == 1024
+    assert joins.broadcast_limit(dim) == 8 * 1024
     assert not joins.fits_broadcast(dim)
 
 
