@@ -107,21 +107,27 @@ def hot_key_hashes(df: DataFrame, keys: list[str], fan_out: int) -> Column:
 
 
 def _salted(
-    fact: DataFrame, dim: DataFrame, keys: list[str], dim_keys: list[str], key_rows: DataFrame
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    dim_keys: list[str],
+    key_rows: DataFrame,
+    null_safe: bool,
 ) -> tuple[DataFrame, DataFrame]:
     """Give each hot fact key ``fan_out`` salts, and its dimension row one copy per salt.
 
     The salt is the map partition's number: it needs no further column, it is
     the same when a lost task runs again, and equal copies of a row in
     different input splits still part ways. Rows with a NULL key match
-    nothing, so they are spread too.
+    nothing, so they are spread too, unless NULL is a key like any other.
     """
     fan_out = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = hot_key_hashes(key_rows, keys, fan_out)
-    unmatched = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    nulls = [] if null_safe else [F.col(k).isNull() for k in keys]
     spread = F.pmod(F.spark_partition_id(), F.lit(fan_out))
     is_hot = F.array_contains(hot, _key_hash(fact, keys))
-    fact = fact.withColumn(_SALT, F.when(unmatched | is_hot, spread).otherwise(F.lit(0)))
+    apart = reduce(lambda a, b: a | b, nulls, is_hot)
+    fact = fact.withColumn(_SALT, F.when(apart, spread).otherwise(F.lit(0)))
     all_salts = F.sequence(F.lit(0), F.lit(fan_out - 1))
     one_salt = F.array(F.lit(0))
     dim_hot = F.array_contains(hot, _key_hash(dim, dim_keys))
@@ -135,6 +141,7 @@ def join_dimension(
     keys: Mapping[str, str],
     how: str = "left",
     key_rows: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join ``fact`` to ``dim`` on ``{fact column: dim column}``.
 
@@ -146,7 +153,7 @@ def join_dimension(
     is shuffled, with keys too heavy for one partition salted. Heavy keys are
     looked for in ``key_rows``, by default the fact itself; a frame with the
     same key columns that is cheaper to read does as well, since the answer
-    only decides where rows are processed.
+    only decides where rows are processed. ``null_safe`` lets NULL equal NULL.
     """
     _check_key_types(fact, dim, keys)
     fact_keys, renamed = list(keys), {d: f"__dim_{d}" for d in keys.values()}
@@ -162,11 +169,13 @@ def join_dimension(
         left, right = fact, F.broadcast(dim)
         pairs = []
     else:
-        if how in ("inner", "left_semi"):
+        if how in ("inner", "left_semi") and not null_safe:
             fact = fact.dropna(subset=fact_keys)
-        left, right = _salted(fact, dim, fact_keys, dim_keys, fact if key_rows is None else key_rows)
+        key_rows = fact if key_rows is None else key_rows
+        left, right = _salted(fact, dim, fact_keys, dim_keys, key_rows, null_safe)
         pairs = [left[_SALT] == right[f"{_SALT}_dim"]]
-    pairs = [left[f] == right[d] for f, d in zip(fact_keys, dim_keys)] + pairs
+    for f, d in zip(fact_keys, dim_keys):
+        pairs.append(left[f].eqNullSafe(right[d]) if null_safe else left[f] == right[d])
     condition = reduce(lambda a, b: a & b, pairs)
     return left.join(right, condition, how).drop(_SALT, f"{_SALT}_dim", *dim_keys)
 

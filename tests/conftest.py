@@ -6,11 +6,12 @@ from pyspark.sql import SparkSession
 def spark(tmp_path_factory):
     home = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("siltstone-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))

@@ -46,6 +46,18 @@ def test_same_rows_as_plain_join(skewed, dim, conf, how, limit):
     assert sorted(map(tuple, found.collect()), key=str) == expected
 
 
+@pytest.mark.parametrize("how", HOWS)
+@pytest.mark.parametrize("limit", ["10mb", "-1"])
+def test_null_safe_join(skewed, dim, conf, how, limit):
+    dim = dim.unionAll(dim.limit(1).select(F.lit(None).cast("bigint"), F.lit("nobody")))
+    joined = skewed.join(dim, skewed.k.eqNullSafe(dim.dim_key), how)
+    expected = joined.select("k", "id", "name") if how in ("left", "inner") else joined
+    expected = sorted(map(tuple, expected.collect()), key=str)
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": limit})
+    found = joins.join_dimension(skewed, dim, {"k": "dim_key"}, how, null_safe=True)
+    assert sorted(map(tuple, found.collect()), key=str) == expected
+
+
 def _largest_share(joined):
     per_task = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     return per_task / joined.count()
