@@ -1,4 +1,4 @@
-"""Delimited text, JSON and table scans with declared schemas."""
+"""Delimited text and JSON scans with declared schemas."""
 
 from __future__ import annotations
 
@@ -43,7 +43,3 @@ def read_json(
     feeds as one object per line and pass False: those files are split.
     """
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)

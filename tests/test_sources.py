@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from siltstone.plans.workbook_samples import as_workbooks, workbook_bytes
 from siltstone.retail import transforms
 from siltstone.retail.schemas import customer_schema, product_schema
-from siltstone.sources.files import read_delimited, read_json, read_table
+from siltstone.sources.catalog import read_latest_batch, read_table, table_partitions
+from siltstone.sources.files import read_delimited, read_json
 from siltstone.sources.workbooks import read_workbooks, workbook_rows
 
 PRODUCT_HEADER = "Product ID,Category,Sub-Category,Product Name,State,Price per product\n"
@@ -165,3 +166,28 @@ def test_one_workbook_per_batch(spark, conf):
 def test_read_table(spark, customer_df):
     customer_df.createOrReplaceTempView("some_customers")
     assert read_table(spark, "some_customers").count() == 2
+
+
+@pytest.fixture
+def parted(spark):
+    spark.sql("CREATE TABLE parted (v int, d date, s string) USING parquet PARTITIONED BY (d, s)")
+    yield "parted"
+    spark.sql("DROP TABLE parted")
+
+
+def test_partitions_come_from_the_catalog(spark, parted):
+    rows = [(1, "2024-01-01", "a/b=c d+e%"), (2, "2024-01-02", None), (3, "2024-01-02", "it's"), (4, None, "é")]
+    df = spark.createDataFrame(rows, "v int, d string, s string").withColumn("d", F.col("d").cast("date"))
+    df.select("v", "d", "s").write.insertInto(parted)
+    listed = table_partitions(spark, parted)
+    assert set(listed.collect()) == set(spark.table(parted).select("d", "s").distinct().collect())
+    assert "FileScan" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_batch_of_a_partitioned_table(spark, parted):
+    assert read_latest_batch(spark, parted, "d").count() == 0
+    df = spark.createDataFrame([(1, "2024-01-01", "a"), (2, "2024-01-02", "b"), (3, "2024-01-02", None)], "v int, d string, s string")
+    df.select("v", F.col("d").cast("date"), "s").write.insertInto(parted)
+    newest = read_latest_batch(spark, parted, "d")
+    assert sorted(r.v for r in newest.collect()) == [2, 3]
+    assert "d=2024-01-01" not in " ".join(newest.inputFiles())
