@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 # room for 10^18 in one value and 10^28 in a sum.
 EXACT = T.DecimalType(28, 10)
 
-
 # A decimal of up to 18 digits is kept in a machine word and sums several times faster.
 _WORD_DIGITS = 18
 

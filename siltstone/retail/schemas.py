@@ -93,6 +93,7 @@ _customer = _stored(customer_schema)
 _product = _stored(product_schema)
 _order = _stored(order_schema, ORDER_DATES)
 
+
 def _raw(name: str, schema: T.StructType) -> TableSpec:
     """Raw history, one partition per batch: the newest batch is read without the older ones."""
     return TableSpec(name, _extended(schema, {BATCH_COLUMN: _TEXT}), partition_by=[BATCH_COLUMN])

@@ -132,6 +132,15 @@ def test_nested_columns_have_no_measured_size(spark):
     assert joins.measured_bytes(nested) is None
 
 
+@pytest.mark.parametrize("how", HOWS)
+def test_empty_sides_of_a_salted_join(skewed, dim, conf, how):
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    nothing = skewed.where("false")
+    assert joins.join_dimension(nothing, dim, {"k": "dim_key"}, how).count() == 0
+    unmatched = joins.join_dimension(skewed, dim.where("false"), {"k": "dim_key"}, how)
+    assert unmatched.count() == (9000 if how in ("left", "left_anti") else 0)
+
+
 def test_attribute_clash_is_an_error(skewed, dim):
     with pytest.raises(ValueError, match="both sides"):
         joins.join_dimension(skewed, dim.withColumn("id", F.lit(1)), {"k": "dim_key"})

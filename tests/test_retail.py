@@ -273,6 +273,19 @@ def test_empty_file_stops_the_job(shop):
     shop.deliver([("C1", "Ann")], [], FIRST)
     with pytest.raises(ValueError, match="DataFrame 'Product' is empty"):
         shop.run(1)
+    assert shop.table("bronze_customer").count() == 0
+
+
+def test_all_orders_unknown_stops_the_job_after_quarantine(shop):
+    shop.deliver([("C1", "Ann")], [("P1", "Toys")], [_order(1, "O1", "C7", "P1", 1.0)])
+    with pytest.raises(ValueError, match="DataFrame 'order_df' is empty"):
+        shop.run(1)
+    assert shop.table("quarantine_orphan_orders").count() == 1
+
+
+def test_nothing_to_quarantine(shop):
+    shop.deliver([("C1", "Ann")], [("P1", "Toys")], [_order(1, "O1", "C1", "P1", 1.0)])
+    assert "quarantine_orphan_orders" not in shop.run(1)
 
 
 def test_ingest_rules_stop_the_job(shop):
