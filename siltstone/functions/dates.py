@@ -14,7 +14,8 @@ def text_to_date(column: str, fmt: str = DAY_MONTH_YEAR, strict: bool = False) -
     """``strict`` fails the query on the first bad value; otherwise it becomes NULL."""
     if strict:
         return F.to_date(F.col(column), fmt)
-    return F.try_to_date(F.col(column), fmt)
+    # an empty text is spared the parser, which is slow to fail
+    return F.try_to_date(F.nullif(F.col(column), F.lit("")), fmt)
 
 
 def parse_dates(

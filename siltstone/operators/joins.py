@@ -85,12 +85,13 @@ def _key_hash(df: DataFrame, keys: list[str]) -> Column:
     )
 
 
-def _check_key_types(fact: DataFrame, dim: DataFrame, keys: Mapping[str, str]) -> None:
-    for f, d in keys.items():
-        left, right = fact.schema[f].dataType, dim.schema[d].dataType
-        integers = isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType)
-        if left != right and not integers:
-            raise ValueError(f"Cast {f} ({left.simpleString()}) or {d} ({right.simpleString()}): key types differ")
+def _hash_alike(fact: DataFrame, dim: DataFrame, keys: Mapping[str, str]) -> bool:
+    """Whether equal keys have equal hashes: same type, or both integers."""
+    pairs = [(fact.schema[f].dataType, dim.schema[d].dataType) for f, d in keys.items()]
+    return all(
+        left == right or (isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType))
+        for left, right in pairs
+    )
 
 
 def hot_key_hashes(df: DataFrame, keys: list[str], fan_out: int) -> Column:
@@ -149,13 +150,16 @@ def join_dimension(
     dimension row per key. The dimension's own key columns are not returned;
     fact columns keep their order and dimension attributes follow.
 
-    A dimension measured to be below the broadcast limit is broadcast. A larger one
-    is shuffled, with keys too heavy for one partition salted. Heavy keys are
+    A dimension measured to be below the broadcast limit is broadcast. A larger
+    one is shuffled, with keys too heavy for one partition salted. Heavy keys are
     looked for in ``key_rows``, by default the fact itself; a frame with the
     same key columns that is cheaper to read does as well, since the answer
     only decides where rows are processed. ``null_safe`` lets NULL equal NULL.
+
+    Keys of unequal types, such as text and numbers, compare as Spark casts
+    them; they are not salted, which leaves skew to adaptive execution.
     """
-    _check_key_types(fact, dim, keys)
+    hash_alike = _hash_alike(fact, dim, keys)
     fact_keys, renamed = list(keys), {d: f"__dim_{d}" for d in keys.values()}
     clash = sorted(set(fact.columns) & (set(dim.columns) - set(renamed)))
     if clash and how in ("left", "inner"):
@@ -165,9 +169,11 @@ def join_dimension(
         dim = dim.select(*renamed)
     dim = dim.withColumnsRenamed(renamed)
 
+    pairs = []
     if fits_broadcast(dim):
         left, right = fact, F.broadcast(dim)
-        pairs = []
+    elif not hash_alike:
+        left, right = fact, dim
     else:
         if how in ("inner", "left_semi") and not null_safe:
             fact = fact.dropna(subset=fact_keys)

@@ -88,10 +88,12 @@ def test_composite_key_of_different_width(spark, conf):
     assert joined.where("name = 'x'").count() == 4000
 
 
-def test_keys_of_different_kind_are_refused(spark, dim):
-    fact = spark.createDataFrame([("01",)], "k string")
-    with pytest.raises(ValueError, match="key types differ"):
-        joins.join_dimension(fact, dim, {"k": "dim_key"})
+@pytest.mark.parametrize("limit", ["10mb", "-1"])
+def test_keys_of_different_kind_compare_as_spark_casts_them(spark, dim, conf, limit):
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": limit})
+    fact = spark.createDataFrame([("01",)] * 500 + [("9999",)], "k string")
+    assert joins.join_dimension(fact, dim, {"k": "dim_key"}, "inner").count() == 500
+    assert joins.orphans(fact, dim, "k", "dim_key").count() == 1
 
 
 def test_wider_dimension_keys_do_not_overflow(spark, conf):
