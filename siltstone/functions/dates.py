@@ -25,15 +25,17 @@ def parse_dates(
     return df.withColumns({c: text_to_date(c, fmt, strict) for c in columns})
 
 
+def unreadable_dates(columns: Iterable[str], fmt: str = DAY_MONTH_YEAR) -> list[Column]:
+    """Aggregates, named like the columns: texts that are present but not a date."""
+    return [
+        F.count_if(F.col(c).isNotNull() & text_to_date(c, fmt).isNull()).alias(c) for c in columns
+    ]
+
+
 def date_parse_failures(
     df: DataFrame, columns: Iterable[str], fmt: str = DAY_MONTH_YEAR
 ) -> DataFrame:
-    """Rows ``(column_name, failures)``: text that is present but not a date, in one pass."""
+    """Rows ``(column_name, failures)``, in one pass."""
     columns = list(columns)
-    totals = df.agg(
-        *(
-            F.count_if(F.col(c).isNotNull() & text_to_date(c, fmt).isNull()).alias(c)
-            for c in columns
-        )
-    )
+    totals = df.agg(*unreadable_dates(columns, fmt))
     return totals.unpivot([], columns, "column_name", "failures")

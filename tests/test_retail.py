@@ -158,6 +158,7 @@ def test_first_run(shop):
     assert counts == {
         "bronze_customer": 3, "bronze_product": 2, "bronze_order": 6, "silver_customer": 2,
         "silver_product": 2, "quarantine_orphan_orders": 3, "silver_order": 3, "gold_profit_summary": 3,
+        "unreadable order_date": 0, "unreadable ship_date": 0,
     }
     assert shop.gold() == {
         (2016, "Toys", "Ann Customer Name"): 1.01,
@@ -283,6 +284,17 @@ def test_all_orders_unknown_stops_the_job_after_quarantine(shop):
     assert shop.table("quarantine_orphan_orders").count() == 1
 
 
+def test_unreadable_dates_are_counted_or_fatal(shop):
+    orders = [_order(1, "O1", "C1", "P1", 1.0, "5/13/2016"), _order(2, "O1", "C1", "P1", 2.0)]
+    orders[1]["Ship Date"] = "soon"
+    shop.deliver([("C1", "Ann")], [("P1", "Toys")], orders)
+    counts = shop.run(1)
+    assert (counts["unreadable order_date"], counts["unreadable ship_date"]) == (1, 2)
+    shop.config = replace(shop.config, strict_dates=True)
+    with pytest.raises(Exception, match="could not be parsed"):
+        shop.run(2)
+
+
 def test_nothing_to_quarantine(shop):
     shop.deliver([("C1", "Ann")], [("P1", "Toys")], [_order(1, "O1", "C1", "P1", 1.0)])
     assert "quarantine_orphan_orders" not in shop.run(1)
