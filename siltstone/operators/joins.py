@@ -68,8 +68,8 @@ def fits_broadcast(df: DataFrame) -> bool:
     inputs are taken to be too large without a look.
     """
     limit = broadcast_limit(df)
-    inputs = _input_bytes(df)
-    if limit < 0 or inputs is None or inputs > limit:
+    inputs = _input_bytes(df) if limit >= 0 else None
+    if inputs is None or inputs > limit:
         return False
     size = measured_bytes(df)
     return size is not None and size <= limit

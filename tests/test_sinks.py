@@ -181,6 +181,9 @@ def test_overwrite_partitioned_table_drops_absent_partitions(spark, new_table):
     write_table(spark.createDataFrame([("a", "p1", 1), ("b", "p2", 1)], UPSERT_COLUMNS), table)
     write_table(spark.table(table).where("part = 'p2'"), table)
     assert _rows(spark, table) == [("b", 1, "p2")]
+    assert write_table(spark.table(table).where("false"), table) == 0
+    assert _rows(spark, table) == []
+    assert spark.sql(f"SHOW PARTITIONS {table}").isEmpty()
 
 
 @pytest.mark.parametrize("newer, flag", [(None, None), ("v", None), ("v", "__delete")])
