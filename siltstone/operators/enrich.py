@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.money import round_money
-from siltstone.operators.joins import join_dimension
+from siltstone.operators.joins import fits_broadcast, join_dimension
 
 REJECT_REASON = "reject_reason"
 
@@ -48,12 +48,12 @@ def enrich_star(
 
     An unknown key gives NULL attributes, or with ``how="inner"`` drops the row.
     """
-    bare = fact
-    for link in links:
-        attributes = link.dim.select(link.key, *link.attributes)
+    bare, links = fact, list(links)
+    tables = [link.dim.select(link.key, *link.attributes) for link in links]
+    for link, table, fits in zip(links, tables, fits_broadcast(tables)):
         # heavy keys are looked for in the facts before any join, not in the chain so far
         key_rows = bare if link.key_rows is None else link.key_rows
-        fact = join_dimension(fact, attributes, {link.fact_key: link.key}, how, key_rows)
+        fact = join_dimension(fact, table, {link.fact_key: link.key}, how, key_rows, fits=fits)
     rounded = {c: round_money(F.col(c), fact.schema[c].dataType, scale) for c in round_columns}
     return fact.withColumns(rounded) if rounded else fact
 

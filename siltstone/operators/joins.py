@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import PySparkAttributeError
@@ -34,20 +34,28 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(number) * _BYTE_UNITS[unit.lower()] * _ROWS_PER_FILE_BYTE
 
 
-def measured_bytes(df: DataFrame) -> int | None:
-    """Row-format size found by one aggregate pass; None where a column has no plain width.
+def _row_bytes(df: DataFrame) -> Column | None:
+    """Space a row takes in Spark's row format, rounded up; None for nested columns.
 
-    8 bytes per field plus the bytes of strings and binaries plus the row
-    header, which is how Spark lays rows out.
+    A header, a word and a length per field, and the bytes of texts and binaries.
     """
-    flat = (T.StringType, T.BinaryType)
-    variable = [f.name for f in df.schema if isinstance(f.dataType, flat)]
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema):
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    if any(isinstance(f.dataType, nested) for f in df.schema):
         return None
+    variable = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     lengths = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in variable]
-    fixed = 16 + 16 * len(df.columns)
-    width = reduce(lambda a, b: a + b, lengths, F.lit(fixed).cast("long"))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    fixed = F.lit(16 + 16 * len(df.columns)).cast("long")
+    return reduce(lambda a, b: a + b, lengths, fixed)
+
+
+def measured_bytes(frames: Sequence[DataFrame]) -> list[int]:
+    """Total row bytes of each frame, from one job; a task sends one number."""
+    totals = [
+        df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")).select(F.lit(n).alias("n"), "bytes")
+        for n, df in enumerate(frames)
+    ]
+    found = dict(tuple(row) for row in reduce(DataFrame.unionAll, totals).collect())
+    return [found[n] for n in range(len(totals))]
 
 
 def _input_bytes(df: DataFrame) -> int | None:
@@ -60,19 +68,27 @@ def _input_bytes(df: DataFrame) -> int | None:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the frame's rows are proven to be below the broadcast limit.
+def fits_broadcast(frames: Sequence[DataFrame]) -> list[bool]:
+    """Whether each frame's rows are proven to be below the broadcast limit.
 
-    File sizes prove nothing, as a small file can hold many equal rows, so the
-    frame is measured. They do say whether measuring is worth its cost: large
+    File sizes prove nothing, as a small file can hold many equal rows, so
+    frames are measured. They do say whether measuring is worth its cost: large
     inputs are taken to be too large without a look.
     """
-    limit = broadcast_limit(df)
-    inputs = _input_bytes(df) if limit >= 0 else None
-    if inputs is None or inputs > limit:
-        return False
-    size = measured_bytes(df)
-    return size is not None and size <= limit
+    fits = [False] * len(frames)
+    limit = broadcast_limit(frames[0]) if frames else -1
+    if limit < 0:
+        return fits
+    inputs = [_input_bytes(df) for df in frames]
+    worth = [
+        n
+        for n, (df, size) in enumerate(zip(frames, inputs))
+        if size is not None and size <= limit and _row_bytes(df) is not None
+    ]
+    if worth:
+        for n, size in zip(worth, measured_bytes([frames[n] for n in worth])):
+            fits[n] = size <= limit
+    return fits
 
 
 def _key_hash(df: DataFrame, keys: list[str]) -> Column:
@@ -143,6 +159,7 @@ def join_dimension(
     how: str = "left",
     key_rows: DataFrame | None = None,
     null_safe: bool = False,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Equi-join ``fact`` to ``dim`` on ``{fact column: dim column}``.
 
@@ -155,6 +172,7 @@ def join_dimension(
     looked for in ``key_rows``, by default the fact itself; a frame with the
     same key columns that is cheaper to read does as well, since the answer
     only decides where rows are processed. ``null_safe`` lets NULL equal NULL.
+    ``fits`` is the outcome of ``fits_broadcast`` if the caller has it already.
 
     Keys of unequal types, such as text and numbers, compare as Spark casts
     them; they are not salted, which leaves skew to adaptive execution.
@@ -170,7 +188,7 @@ def join_dimension(
     dim = dim.withColumnsRenamed(renamed)
 
     pairs = []
-    if fits_broadcast(dim):
+    if fits_broadcast([dim])[0] if fits is None else fits:
         left, right = fact, F.broadcast(dim)
     elif not hash_alike:
         left, right = fact, dim

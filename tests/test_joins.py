@@ -106,7 +106,7 @@ def test_wider_dimension_keys_do_not_overflow(spark, conf):
 def test_small_joined_dimension_is_broadcast(spark, dim):
     other = spark.range(2500).select(F.col("id").alias("other_key"), F.lit("x").alias("extra"))
     wide = dim.join(other, dim.dim_key == other.other_key).drop("other_key")
-    assert joins.fits_broadcast(wide)
+    assert joins.fits_broadcast([wide]) == [True]
 
 
 def test_small_files_may_hold_too_much(spark, tmp_path):
@@ -114,24 +114,29 @@ def test_small_files_may_hold_too_much(spark, tmp_path):
     spark.range(800_000).selectExpr("1 AS k", "repeat('x', 100) AS v").coalesce(1).write.parquet(path)
     equal = spark.read.parquet(path)
     assert joins._input_bytes(equal) < 1_000_000
-    assert not joins.fits_broadcast(equal)
+    assert joins.fits_broadcast([equal, equal.limit(3)]) == [False, True]
 
 
 def test_large_inputs_are_not_measured(spark, dim, conf, monkeypatch):
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "100b"})
-    monkeypatch.setattr(joins, "measured_bytes", lambda df: pytest.fail("measured"))
-    assert not joins.fits_broadcast(dim)
+    monkeypatch.setattr(joins, "measured_bytes", lambda frames: pytest.fail("measured"))
+    assert joins.fits_broadcast([dim]) == [False]
 
 
 def test_large_dimension_is_not_broadcast(dim, conf):
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "1kb"})
     assert joins.broadcast_limit(dim) == 8 * 1024
-    assert not joins.fits_broadcast(dim)
+    assert joins.fits_broadcast([dim]) == [False]
 
 
 def test_nested_columns_have_no_measured_size(spark):
     nested = spark.range(3).select(F.array("id").alias("ids"))
-    assert joins.measured_bytes(nested) is None
+    assert joins.fits_broadcast([nested, spark.range(3)]) == [False, True]
+
+
+def test_frames_are_measured_together(spark):
+    texts = spark.createDataFrame([("abc",), (None,)], "s string")
+    assert joins.measured_bytes([texts, texts.where("false"), spark.range(2)]) == [2 * 32 + 3, 0, 2 * 32]
 
 
 @pytest.mark.parametrize("how", HOWS)
