@@ -2,31 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="siltstone-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local session without the setting falls back to a temporary folder.
+    Both are shared by the driver and all executors; a machine's own temporary folder is not.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    if folder is None:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
