@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from comparison import connect, differences
+from siltstone.plans.oracle import ORACLE_SQL
+from siltstone.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,13 +18,13 @@ def engine():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, engine, name):
-    result = queries()[name](spark, SF_DIR)
-    assert differences(result, engine, oracle_sql()[name]) == []
+    result = QUERIES[name](spark, SF_DIR)
+    assert differences(result, engine, ORACLE_SQL[name]) == []
 
 
 def test_entry_returns_rows(spark):
@@ -38,5 +40,5 @@ JOINING = [
 @pytest.mark.parametrize("name", JOINING)
 def test_query_equals_sql_where_nothing_may_be_broadcast(spark, engine, conf, name):
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
-    result = queries()[name](spark, SF_DIR)
-    assert differences(result, engine, oracle_sql()[name]) == []
+    result = QUERIES[name](spark, SF_DIR)
+    assert differences(result, engine, ORACLE_SQL[name]) == []
