@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from siltstone.llm.shared import id_remainder
 
 UNDETERMINED = "und"
-RESULT = "held_out boolean, lang_pred string, score double"
 
 _LETTER = regex.compile(r"\p{L}")
 _CHUNK_CHARS = 400_000
@@ -133,15 +132,8 @@ def train_language_model(
     return NaiveBayes(languages, matrix.astype(np.float32), prior, bits)
 
 
-def identify_languages(docs: DataFrame, bits: int = 16, sample_rows: int = 20_000) -> DataFrame:
-    """``docs`` with held_out, lang_pred and score added; a column of such a name is replaced.
-
-    The model is fitted on text and lang of documents with crc32(doc_id) mod 4 other than
-    2 and a lang that is not null; those at 2 are ``held_out``. A prediction uses the text alone.
-    A text that is null or has no letter is ``und`` with score 0, as is every text where no
-    language is learned. Whole texts are read; a null doc_id counts as empty text
-    in the remainder. An empty table gives no rows.
-    """
+def _predicted(docs: DataFrame, bits: int, sample_rows: int) -> DataFrame:
+    """``docs`` with the structure __found: held_out, lang_pred, score."""
     held_out = id_remainder(F.col("doc_id"), 4) == 2
     labelled = docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
     labelled = labelled.select("text", "lang", F.xxhash64("doc_id", "text").alias("pick"))
@@ -153,7 +145,25 @@ def identify_languages(docs: DataFrame, bits: int = 16, sample_rows: int = 20_00
             yield pd.DataFrame({"lang_pred": found, "score": scores})
 
     predicted = F.pandas_udf(predict, "lang_pred string, score double")
-    added = docs.drop("held_out", "lang_pred", "score").withColumn("__found", predicted("text"))
-    return added.select(
-        *[c for c in added.columns if c != "__found"], held_out.alias("held_out"), "__found.lang_pred", "__found.score"
-    )
+    return docs.withColumn("__found", predicted("text").withField("held_out", held_out))
+
+
+def identify_languages(docs: DataFrame, bits: int = 16, sample_rows: int = 20_000) -> DataFrame:
+    """``docs`` with held_out, lang_pred and score added; columns of such names are replaced.
+
+    The model is fitted on text and lang of documents with crc32(doc_id) mod 4 other than
+    2 and a lang that is not null; those at 2 are ``held_out``. A prediction uses the text alone.
+    A text that is null or has no letter is ``und`` with score 0, as is every text where no
+    language is learned. Whole texts are read; a null doc_id counts as empty text
+    in the remainder. An empty table gives no rows.
+    """
+    added = ["held_out", "lang_pred", "score"]
+    found = _predicted(docs, bits, sample_rows)
+    return found.select(*[c for c in docs.columns if c not in added], *[f"__found.{c}" for c in added])
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` in a learned language of at least ``least_score``, with their columns as they were."""
+    found = _predicted(docs, 16, 20_000)
+    sure = (F.col("__found.lang_pred") != UNDETERMINED) & (F.col("__found.score") >= least_score)
+    return found.where(sure).select(*docs.columns)

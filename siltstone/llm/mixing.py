@@ -146,6 +146,33 @@ def mix_sources(
     last. Null ids come first in a shard. Repeated rows are documents of their own. An empty
     table gives no rows; other columns are ignored.
     """
+    return _taken(docs, weights, ceiling, block_words, shard_rows, seed).select(*RESULT)
+
+
+def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """``docs`` as ``mix_sources`` takes them, with their columns: a row for each turn of a document.
+
+    A part of a turn becomes a whole one with that probability, by a seeded hash, and else none. Documents
+    without words are not taken. Rows equal in id and text get their mean.
+    """
+    taken = _taken(docs, seed=seed).where("size > 0")
+    chance = F.pmod(F.xxhash64("hash", F.lit(seed)), F.lit(1 << 20)) / (1 << 20)
+    turns = taken.withColumn("turns", F.floor(F.col("taken") / F.col("size") + chance))
+    turns = turns.groupBy(F.col("hash").alias("__hash")).agg(F.round(F.avg("turns")).cast("int").alias("__turns"))
+    keyed = docs.withColumn("__hash", F.xxhash64("doc_id", "text"))
+    kept = keyed.join(turns.where("__turns > 0"), "__hash")
+    return kept.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__turns")))).select(*docs.columns)
+
+
+def _taken(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    ceiling: float = 3.0,
+    block_words: int = 16,
+    shard_rows: int = 1000,
+    seed: int = 7,
+) -> DataFrame:
+    """RESULT and the hash of id and text."""
     turns = int(ceiling)
     rows = docs.select(
         "doc_id",
@@ -197,4 +224,4 @@ def mix_sources(
         return extras_before(block) * block_words + here * (position - block * block_words)
 
     taken = F.col("whole") * F.col("size") + words_before(F.col("end")) - words_before(F.col("start"))
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return rows.select("doc_id", "hash", "size", "source_size", "target", taken.cast("long").alias("taken"))

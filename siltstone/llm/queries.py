@@ -1,58 +0,0 @@
-"""The corpus operators as registered queries, with production parameters over whole tables."""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-from siltstone.llm.exact_dedup import exact_groups
-from siltstone.llm.language_id import identify_languages
-from siltstone.llm.mixing import mix_sources
-from siltstone.llm.packing import pack_documents
-from siltstone.llm.shared import table
-from siltstone.llm.toxicity import score_toxicity
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
-
-
-def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(table(spark, sf_dir, "documents"))
-
-
-def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents"))
-
-
-def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-
-
-def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = identify_languages(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "held_out", "lang_pred", "score")
-
-
-QUERIES: dict[str, Query] = {
-    "op2_packing": op2_packing,
-    "op3_exact_dedup": op3_exact_dedup,
-    "op4_mixing": op4_mixing,
-    "op7_toxicity": op7_toxicity,
-    "op8_language_id": op8_language_id,
-}
-
-ORACLE_SQL: dict[str, str] = {
-    "op3_exact_dedup": """
-        WITH texts AS (
-            SELECT doc_id, sha256(translate(coalesce(text, ''),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
-            FROM documents)
-        SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
-            doc_id = max(doc_id) OVER copies AS kept, text_sha256
-        FROM texts WINDOW copies AS (PARTITION BY text_sha256)
-    """,
-}
