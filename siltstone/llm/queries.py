@@ -1,0 +1,118 @@
+"""The corpus operators as registered queries, with production parameters over whole tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from siltstone.llm.chat_format import recover_roles
+from siltstone.llm.embedding_dedup import embedding_components
+from siltstone.llm.exact_dedup import exact_groups
+from siltstone.llm.jaccard_join import jaccard_components
+from siltstone.llm.language_id import identify_languages
+from siltstone.llm.license_scan import scan_licences
+from siltstone.llm.line_dedup import drop_recurring_lines
+from siltstone.llm.mixing import mix_sources
+from siltstone.llm.packing import pack_documents
+from siltstone.llm.shared import table
+from siltstone.llm.toxicity import score_toxicity
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a repository, and ids fill its directories by 1,000 and 50."""
+    path = F.expr("concat_ws('/', '', coalesce(source, ''), doc_id div 1000, doc_id div 50, doc_id)")
+    return scan_licences(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recover_roles(table(spark, sf_dir, "conversations"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_packing": op2_packing,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_toxicity": op7_toxicity,
+    "op8_language_id": op8_language_id,
+    "op9_chat_format": op9_chat_format,
+    "op10_line_dedup": op10_line_dedup,
+    "pipeline": corpus_pipeline.run,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_dedup": """
+        WITH texts AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
+            doc_id = max(doc_id) OVER copies AS kept, text_sha256
+        FROM texts WINDOW copies AS (PARTITION BY text_sha256)
+    """,
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+            FROM words),
+        members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach AS (
+            SELECT a AS node, a AS other FROM links
+            UNION
+            SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a)
+        SELECT sets.doc_id, len(s) AS n_shingles, least(sets.doc_id, coalesce(min(other), sets.doc_id)) AS component_id
+        FROM sets LEFT JOIN reach ON sets.doc_id = reach.node
+        GROUP BY sets.doc_id, s
+    """,
+}
