@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.shared import attach_groups, components
-from siltstone.llm.shingles import shingle_sets
+from siltstone.llm.shingles import shingle_sets, slices
 from siltstone.sinks.staging import stage
 
 SHARED = 3  # prefix elements that a pair must have in common
@@ -24,6 +24,8 @@ CHUNK_REPEATS = 3
 FILTER_BITS = 1 << 26
 LEADER_ROUNDS = 8
 PAIRS_PER_ROW = 4
+LONG_LIST = 32
+LISTED_MOST = 2_000_000
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -86,7 +88,7 @@ def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
             held.clear()
             return pd.DataFrame({"shingle": values[often].view(np.int64), "n": times[often]})
 
-        for batch in batches:
+        for batch in slices(batches):
             for found in shingle_sets(batch.column(0).to_pylist(), words):
                 if len(found):
                     held[xxhash.xxh3_128_digest(found.tobytes())] = found
@@ -106,14 +108,23 @@ def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
     return np.sort(common.to_numpy(np.int64).view(np.uint64))
 
 
-def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def in_long_lists(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> np.ndarray:
+    """Prefix elements, under the order given, whose lists are long: LISTED_MOST at most, by the length asked for."""
+    entries = profiles(docs, words, percent, common).select(F.explode("prefix").alias("shingle"))
+    lengths = stage(entries.groupBy("shingle").agg(F.count("*").alias("length")).where(F.col("length") > LONG_LIST), "lengths")
+    rows = lengths.agg(F.sum("length")).first()[0] or 0
+    found = lengths.where(F.col("length") > rows / LISTED_MOST).select("shingle").toPandas()["shingle"]
+    return found.to_numpy(np.int64).view(np.uint64)
+
+
+def profiles(docs: DataFrame, words: int, percent: int, last_in_order: np.ndarray) -> DataFrame:
     """(doc_id, n, sig_a, sig_b, prefix, whole): size, digest, first elements in the common order, small sets."""
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
+    common = docs.sparkSession.sparkContext.broadcast(last_in_order)
     schema = "doc_id long, n long, sig_a long, sig_b long, prefix array<long>, whole array<long>"
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = common.value
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             ids = batch.column(0).to_pylist()
             for doc_id, found in zip(ids, shingle_sets(batch.column(1).to_pylist(), words)):
@@ -161,39 +172,64 @@ def _small_links(reps: DataFrame, percent: int, largest: int) -> DataFrame:
     return met.select(F.col("rep").alias("a"), centre.alias("b")).where("a <> b").distinct()
 
 
-def _kept_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(rep, exact, coarse): the sets of wanted documents, as sorted 64-bit and 16-bit values.
+def _bit(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
 
-    Texts are read again and filtered by a bitmap of FILTER_BITS bits, so that only sets that are
-    asked for, and a few more, are written. A full bitmap would let all through.
+
+def _bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """A filter of FILTER_BITS bits, whatever the input, that knows all values of a column.
+
+    It lets other values through the more, the fuller it is; what passes is joined as usual.
     """
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
     # Spark numbers the bits of its maps from 1
-    bits = wanted.select((bit("rep") + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-    maps = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map")).collect()
+    bits = rows.select((_bit(column) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    maps = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
     whole = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for row in maps:
+    for row in maps.toLocalIterator():
         part = np.frombuffer(bytes(row.map), np.uint8)
         whole[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
-    asked = docs.sparkSession.sparkContext.broadcast(whole)
+    return whole
+
+
+def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def kept_sets(docs: DataFrame, wanted: DataFrame, words: int, bits: int) -> DataFrame:
+    """(rep, values): the shingle sets of the ``wanted`` documents, sorted, the top ``bits`` of every hash.
+
+    Texts are read again, so that no sets are kept but those asked for.
+    """
+    asked = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, "rep"))
+    kind, shift = f"<u{bits // 8}", np.uint64(64 - bits)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = asked.value
-        for batch in batches:
-            at = batch.column(2).to_numpy()
-            hit = np.flatnonzero(bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+        for batch in slices(batches):
+            hit = np.flatnonzero(_has(asked.value, batch.column(2).to_numpy()))
             if not len(hit):
                 continue
             part = batch.take(pa.array(hit))
-            found = list(shingle_sets(part.column(1).to_pylist(), words))
-            coarse = [np.sort((f >> np.uint64(48)).astype("<u2")).tobytes() for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([f.tobytes() for f in found], pa.binary()), pa.array(coarse, pa.binary())],
-                names=["rep", "exact", "coarse"],
-            )
+            found = shingle_sets(part.column(1).to_pylist(), words)
+            values = [(f >> shift).astype(kind).tobytes() for f in found]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.binary())], names=["rep", "values"])
 
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
-    return stage(rows.withColumn("bit", bit("rep")).mapInArrow(keep, "rep long, exact binary, coarse binary"), "sets")
+    return stage(rows.withColumn("bit", _bit("rep")).mapInArrow(keep, "rep long, values binary"), "sets")
+
+
+def prefix_entries(reps: DataFrame) -> DataFrame:
+    """(rep, n, shingle, length): entries of the inverted lists that have more than one."""
+    entries = reps.select("rep", "n", F.explode("prefix").alias("shingle"))
+    lengths = entries.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1")
+    lengths = stage(lengths, "lengths")
+    shared = reps.sparkSession.sparkContext.broadcast(_bitmap(lengths, "shingle"))
+
+    def probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_has(shared.value, batch.column(3).to_numpy()))).select(["rep", "n", "shingle"])
+
+    some = entries.withColumn("bit", _bit("shingle")).mapInArrow(probable, "rep long, n long, shingle long")
+    return stage(some.join(lengths, "shingle"), "lists")
 
 
 def common_count(a: np.ndarray, b: np.ndarray) -> int:
@@ -208,11 +244,12 @@ def common_count(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(left, right).sum())
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, column: str, kind: str, percent: int) -> DataFrame:
-    """The pairs (a, b) whose arrays in ``column`` are similar enough."""
+def _similar(pairs: DataFrame, sets: DataFrame, bits: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
+    kind = f"<u{bits // 8}"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for a, b in zip(batch.column(2), batch.column(3)):
                 left = np.frombuffer(a.as_buffer(), dtype=kind)
@@ -221,20 +258,24 @@ def _similar(pairs: DataFrame, sets: DataFrame, column: str, kind: str, percent:
                 keep.append(100 * shared >= percent * (len(left) + len(right) - shared))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    of_a = sets.select(F.col("rep").alias("a"), F.col(column).alias("of_a"))
-    of_b = sets.select(F.col("rep").alias("b"), F.col(column).alias("of_b"))
+    of_a = sets.select(F.col("rep").alias("a"), F.col("values").alias("of_a"))
+    of_b = sets.select(F.col("rep").alias("b"), F.col("values").alias("of_b"))
     joined = pairs.select("a", "b").join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b")
-    return joined.mapInArrow(compare, "a long, b long").distinct()
+    return stage(joined.mapInArrow(compare, "a long, b long").distinct(), "similar")
+
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep"))
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+
+def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs that are similar by their sets of 64-bit hashes.
 
     Truncated to 16 bits, sets share at least as much, so what fails there fails; that
     comparison moves a quarter of the bytes, and few other pairs pass it.
     """
-    likely = stage(_similar(pairs, sets, "coarse", "<u2", percent), "likely")
-    return _similar(likely, sets, "exact", "<u8", percent)
+    likely = _similar(pairs, kept_sets(docs, _ends(pairs), words, 16), 16, percent)
+    return _similar(likely, kept_sets(docs, _ends(likely), words, 64), 64, percent)
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -250,15 +291,19 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     by the list lengths measured. The common order has rare shingles first, and by hash.
     A pair in several lists is compared once, if it shares at least SHARED prefix elements.
 
-    Long lists of near copies would give all pairs of a group. So while lists would give
-    more than PAIRS_PER_ROW pairs a row, members are compared with one member of their lists a round, another
-    one every time, and only pairs across the components found so far are left for the end.
+    Long lists of near copies would give all pairs of a group. So while lists of more than
+    LONG_LIST would give more than PAIRS_PER_ROW pairs a row, their members are compared with one
+    member of their lists a round, another one every time, and only pairs across the
+    components found so far are left for the end. Rounds end when they no longer help.
 
     Null and empty texts, or texts without words, have size 0 and link with nothing. Rows with
     the same doc_id count as linked. A null doc_id has the component of the copies it
     has, and null if it has none. An empty table gives no rows; other columns are ignored.
     """
-    rows = stage(profiles(docs, words, percent), "profiles")
+    common = common_shingles(docs, words)
+    # what still makes long lists comes last as well
+    common = np.union1d(common, in_long_lists(docs, words, percent, common))
+    rows = stage(profiles(docs, words, percent, common), "profiles")
     sig = ["n", "sig_a", "sig_b"]
     classes = rows.where("n > 0").groupBy(*sig).agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
     classes = stage(classes, "classes")
@@ -271,9 +316,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     not_first = found.where("rep <> doc_id").select("doc_id")
     reps = rows.where("n > 0 AND doc_id IS NOT NULL").join(not_first, "doc_id", "left_anti")
     reps = reps.withColumnRenamed("doc_id", "rep")
-    entries = reps.select("rep", "n", F.explode("prefix").alias("shingle"))
-    lengths = entries.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1")
-    entries = stage(entries.join(lengths, "shingle"), "lists")
+    entries = prefix_entries(reps)
     # a document with fewer common elements has no partner
     able = entries.groupBy("rep").agg(F.count("*").alias("lists"), F.max("n").alias("n"))
     able = stage(able.where(F.col("lists") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))), "able")
@@ -282,28 +325,33 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     boundary = size_boundary(percent, (scanned[0] or 0) / max(1, scanned[1]))
 
     links = _small_links(reps, percent, boundary)
-    sets = _kept_sets(docs, able, words)
     links = stage(links, "links")
-    for number in range(LEADER_ROUNDS):
+    sets = pairs = None
+    for number in range(LEADER_ROUNDS + 1):
         groups = components(links)
         labelled = entries.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
         by_part = labelled.groupBy("shingle", "component").agg(F.count("*").alias("part"))
         by_list = by_part.groupBy("shingle").agg(F.sum("part").alias("all"), F.sum(F.expr("part * part")).alias("same"))
         left = stage(by_list.where("all * all > same"), "left")
-        pairs, members = left.agg(F.sum(F.expr("(all * all - same) / 2")), F.sum("all")).first()
-        open_lists = stage(labelled.join(left.select("shingle"), "shingle"), "open")
-        if not pairs or pairs <= PAIRS_PER_ROW * members or number == LEADER_ROUNDS - 1:
+        open_lists = stage(labelled.join(left.select("shingle", "all"), "shingle"), "open")
+        in_long = F.when(F.col("all") > LONG_LIST, F.expr("(all * all - same) / 2"))
+        before, pairs = pairs, left.agg(F.sum(in_long)).first()[0] or 0
+        enough = pairs <= PAIRS_PER_ROW * open_lists.count()
+        if enough or number == LEADER_ROUNDS or (before is not None and pairs > 0.8 * before):
             break
+        long_lists = open_lists.where(F.col("all") > LONG_LIST)
         order = F.struct(F.xxhash64("rep", F.lit(number)), F.col("rep"), F.col("n"), F.col("component"))
-        leaders = open_lists.groupBy("shingle").agg(F.min(order).alias("leader"))
-        tried = open_lists.join(leaders, "shingle").select(
+        leaders = long_lists.groupBy("shingle").agg(F.min(order).alias("leader"))
+        tried = long_lists.join(leaders, "shingle").select(
             "rep", "n", "component", F.col("leader.rep").alias("b"), F.col("leader.n").alias("n_b"), F.col("leader.component").alias("to")
         )
         tried = tried.where("component <> to").where(_sizes_fit("n", "n_b", percent))
         tried = tried.groupBy(F.col("rep").alias("a"), "b").agg(F.count("*").alias("lists"))
         best = tried.groupBy("a").agg(F.max(F.struct("lists", "b")).alias("best")).select("a", "best.b")
-        links = stage(links.unionByName(_similar(best, sets, "exact", "<u8", percent)), "links")
+        if sets is None:
+            sets = kept_sets(docs, long_lists.select("rep"), words, 64)
+        links = stage(links.unionByName(_similar(best, sets, 64, percent)), "links")
 
     one, two = open_lists.alias("one"), open_lists.alias("two")
     pairs = one.join(two, F.col("one.shingle") == F.col("two.shingle")).where(
@@ -317,7 +365,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     )
     least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     pairs = stage(pairs.where(F.col("lists") >= F.least(F.lit(SHARED), least)).select("a", "b"), "pairs")
-    links = links.unionByName(verified(pairs, sets, percent))
+    links = links.unionByName(verified(docs, pairs, words, percent))
     groups = components(links).withColumnRenamed("node", "rep")
     return found.join(groups, "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -18,7 +19,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER]
 
-_BATCH_BYTES = 1 << 20
+_BATCH_BYTES = 1 << 18
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -69,11 +70,18 @@ def _sets(texts: Sequence[bytes], words: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shingle_sets(texts: Sequence[str | None], words: int) -> Iterator[np.ndarray]:
     """The set of each text: its runs of ``words`` words, A-Z lower-cased.
 
     A text of fewer words is one run, a text without words the empty set. Texts are hashed
-    in batches of about a megabyte.
+    in batches of about 256 KB.
     """
     with np.errstate(over="ignore"):
         batch: list[bytes] = []
