@@ -12,6 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltstone.llm.shared import attach_groups, components
 from siltstone.llm.shingles import shingle_sets, slices
@@ -22,8 +23,10 @@ SMALL_MOST = 16  # sets above this size are always large
 CHUNK_SHINGLES = 2_000_000
 CHUNK_REPEATS = 3
 FILTER_BITS = 1 << 26
-LEADER_ROUNDS = 8
-PAIRS_PER_ROW = 4
+LEADER_ROUNDS = 6
+LEADERS_TRIED = 4
+HELPS = 0.2  # share of the pairs tried that must link for a further round
+PAIRS_PER_ROW = 1
 LONG_LIST = 32
 LISTED_MOST = 2_000_000
 
@@ -292,8 +295,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     A pair in several lists is compared once, if it shares at least SHARED prefix elements.
 
     Long lists of near copies would give all pairs of a group. So while lists of more than
-    LONG_LIST would give more than PAIRS_PER_ROW pairs a row, their members are compared with one
-    member of their lists a round, another one every time, and only pairs across the
+    LONG_LIST would give more than PAIRS_PER_ROW pairs a row, their members are compared with up to
+    LEADERS_TRIED that lead their lists, by another order every round, and only pairs across the
     components found so far are left for the end. Rounds end when they no longer help.
 
     Null and empty texts, or texts without words, have size 0 and link with nothing. Rows with
@@ -326,7 +329,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
 
     links = _small_links(reps, percent, boundary)
     links = stage(links, "links")
-    sets = pairs = None
+    sets, helps = None, True
     for number in range(LEADER_ROUNDS + 1):
         groups = components(links)
         labelled = entries.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
@@ -336,9 +339,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
         left = stage(by_list.where("all * all > same"), "left")
         open_lists = stage(labelled.join(left.select("shingle", "all"), "shingle"), "open")
         in_long = F.when(F.col("all") > LONG_LIST, F.expr("(all * all - same) / 2"))
-        before, pairs = pairs, left.agg(F.sum(in_long)).first()[0] or 0
-        enough = pairs <= PAIRS_PER_ROW * open_lists.count()
-        if enough or number == LEADER_ROUNDS or (before is not None and pairs > 0.8 * before):
+        pairs = left.agg(F.sum(in_long)).first()[0] or 0
+        if not helps or number == LEADER_ROUNDS or pairs <= PAIRS_PER_ROW * open_lists.count():
             break
         long_lists = open_lists.where(F.col("all") > LONG_LIST)
         order = F.struct(F.xxhash64("rep", F.lit(number)), F.col("rep"), F.col("n"), F.col("component"))
@@ -348,10 +350,13 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
         )
         tried = tried.where("component <> to").where(_sizes_fit("n", "n_b", percent))
         tried = tried.groupBy(F.col("rep").alias("a"), "b").agg(F.count("*").alias("lists"))
-        best = tried.groupBy("a").agg(F.max(F.struct("lists", "b")).alias("best")).select("a", "best.b")
+        closest = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("lists"), "b"))
+        best = stage(tried.withColumn("n", closest).where(F.col("n") <= LEADERS_TRIED).select("a", "b"), "tried")
         if sets is None:
             sets = kept_sets(docs, long_lists.select("rep"), words, 64)
-        links = stage(links.unionByName(_similar(best, sets, 64, percent)), "links")
+        found_now = _similar(best, sets, 64, percent)
+        helps = found_now.count() > HELPS * best.count()
+        links = stage(links.unionByName(found_now), "links")
 
     one, two = open_lists.alias("one"), open_lists.alias("two")
     pairs = one.join(two, F.col("one.shingle") == F.col("two.shingle")).where(
