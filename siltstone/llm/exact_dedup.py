@@ -23,7 +23,7 @@ def grow_directory(keys: DataFrame, capacity: int) -> tuple[DataFrame, int]:
     ``keys`` holds distinct 64-bit keys. The directory starts as deep as an even spread
     needs. While a bucket holds more than ``capacity`` keys the directory doubles: such
     buckets split in two, and the others are pointed at by twice as many slots. Buckets are
-    numbered in key order, by their lowest slot. The driver sees only whether any bucket is
+    numbered in key order, by their lowest slot; slots of empty buckets are left out. The driver sees only whether any bucket is
     overfull.
     """
     depth = max(0, (max(1, keys.count()) - 1) // capacity).bit_length()

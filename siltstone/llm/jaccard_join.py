@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.shared import attach_groups, components
+from siltstone.llm.shared import attach_groups, bitmap_of, components, filter_bit, in_bitmap
 from siltstone.llm.shingles import shingle_sets, slices
 from siltstone.sinks.staging import stage
 
@@ -22,7 +22,6 @@ SHARED = 3  # prefix elements that a pair must have in common
 SMALL_MOST = 16  # sets above this size are always large
 CHUNK_SHINGLES = 2_000_000
 CHUNK_REPEATS = 3
-FILTER_BITS = 1 << 26
 LEADER_ROUNDS = 6
 LEADERS_TRIED = 4
 HELPS = 0.2  # share of the pairs tried that must link for a further round
@@ -175,40 +174,17 @@ def _small_links(reps: DataFrame, percent: int, largest: int) -> DataFrame:
     return met.select(F.col("rep").alias("a"), centre.alias("b")).where("a <> b").distinct()
 
 
-def _bit(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-
-
-def _bitmap(rows: DataFrame, column: str) -> np.ndarray:
-    """A filter of FILTER_BITS bits, whatever the input, that knows all values of a column.
-
-    It lets other values through the more, the fuller it is; what passes is joined as usual.
-    """
-    # Spark numbers the bits of its maps from 1
-    bits = rows.select((_bit(column) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-    maps = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
-    whole = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for row in maps.toLocalIterator():
-        part = np.frombuffer(bytes(row.map), np.uint8)
-        whole[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
-    return whole
-
-
-def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
-
 def kept_sets(docs: DataFrame, wanted: DataFrame, words: int, bits: int) -> DataFrame:
     """(rep, values): the shingle sets of the ``wanted`` documents, sorted, the top ``bits`` of every hash.
 
     Texts are read again, so that no sets are kept but those asked for.
     """
-    asked = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, "rep"))
+    asked = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted, "rep"))
     kind, shift = f"<u{bits // 8}", np.uint64(64 - bits)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hit = np.flatnonzero(_has(asked.value, batch.column(2).to_numpy()))
+            hit = np.flatnonzero(in_bitmap(asked.value, batch.column(2).to_numpy()))
             if not len(hit):
                 continue
             part = batch.take(pa.array(hit))
@@ -217,7 +193,7 @@ def kept_sets(docs: DataFrame, wanted: DataFrame, words: int, bits: int) -> Data
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.binary())], names=["rep", "values"])
 
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
-    return stage(rows.withColumn("bit", _bit("rep")).mapInArrow(keep, "rep long, values binary"), "sets")
+    return stage(rows.withColumn("bit", filter_bit("rep")).mapInArrow(keep, "rep long, values binary"), "sets")
 
 
 def prefix_entries(reps: DataFrame) -> DataFrame:
@@ -225,13 +201,13 @@ def prefix_entries(reps: DataFrame) -> DataFrame:
     entries = reps.select("rep", "n", F.explode("prefix").alias("shingle"))
     lengths = entries.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1")
     lengths = stage(lengths, "lengths")
-    shared = reps.sparkSession.sparkContext.broadcast(_bitmap(lengths, "shingle"))
+    shared = reps.sparkSession.sparkContext.broadcast(bitmap_of(lengths, "shingle"))
 
     def probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_has(shared.value, batch.column(3).to_numpy()))).select(["rep", "n", "shingle"])
+            yield batch.filter(pa.array(in_bitmap(shared.value, batch.column(3).to_numpy()))).select(["rep", "n", "shingle"])
 
-    some = entries.withColumn("bit", _bit("shingle")).mapInArrow(probable, "rep long, n long, shingle long")
+    some = entries.withColumn("bit", filter_bit("shingle")).mapInArrow(probable, "rep long, n long, shingle long")
     return stage(some.join(lengths, "shingle"), "lists")
 
 

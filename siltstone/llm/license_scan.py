@@ -148,8 +148,8 @@ def scan_licences(
 
     A file's own licence is the template nearest to a statement anywhere in its text, if the cosine
     of their TF-IDF vectors is ``least_cosine`` or more. A licence file has such a
-    name, or is a statement for half its words; it licenses its directory, the highest cosine first,
-    then by name. A file without a licence of its own inherits from the nearest directory
+    name, or is a statement for half its words; it licenses its directory: files of such names
+    come first, then the highest cosine, then the licence's name. A file without a licence of its own inherits from the nearest directory
     above it that is licensed: directories, not files, are joined to their ancestors.
 
     Null or empty texts state nothing. A null path has no directory. Repeated paths are
@@ -176,11 +176,12 @@ def scan_licences(
             "licence_file",
             F.coalesce(stated & (F.col("path").rlike(_LICENCE_FILE) | (F.col("__s.words") * 2 >= F.col("__s.total"))), F.lit(False)),
         )
+        .withColumn("__named", F.coalesce(F.col("path").rlike(_LICENCE_FILE), F.lit(False)))
         .withColumn("__dir", F.regexp_replace("path", "/[^/]*$", ""))
         .drop("__s")
     )
     rows = stage(rows, "scanned")
-    best = F.min(F.struct(-F.col("cosine"), F.col("own_licence"))).alias("best")
+    best = F.min(F.struct(~F.col("__named"), -F.round("cosine", 6), F.col("own_licence"))).alias("best")
     licensed = rows.where("licence_file AND __dir IS NOT NULL").groupBy("__dir").agg(best)
     licensed = licensed.select(F.col("__dir").alias("above"), F.col("best.own_licence").alias("licence"))
     directories = rows.where("__dir IS NOT NULL").groupBy("__dir").agg(F.count("*").alias("__files"))

@@ -12,7 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import attach_groups
+from siltstone.llm.shared import attach_groups, bitmap_of, filter_bit, in_bitmap
+from siltstone.llm.shingles import slices
 from siltstone.sinks.staging import stage
 
 VARIABLE = "<*>"
@@ -108,25 +109,28 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFram
     leaves = sizes.groupBy("leaf").agg(F.count("*").alias("different"))
     leaves = leaves.select("leaf", F.ceil(F.col("different") / CHUNK_LINES).alias("chunks"))
 
+    # tokens are read again, of the lines asked for only
+    asked = docs.sparkSession.sparkContext.broadcast(bitmap_of(sizes, "line"))
+
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found: dict[int, str] = {}
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                asked = set(wanted)
+            for text in batch.column(0).to_pylist():
                 for line in dict.fromkeys(text.split("\n")):
                     words = line_tokens(line)
-                    joined = "\x1f".join(words)
-                    key = _hash(joined)
-                    if key in asked:
-                        found[key] = joined
+                    if words:
+                        joined = "\x1f".join(words)
+                        found[_hash(joined)] = joined
             columns = [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["line", "tokens"])
 
-    # one text that holds the line gives its tokens: the one of the least hash
-    giver = often.groupBy("leaf", "line").agg(F.min("copy").alias("copy"))
-    asked = giver.groupBy("copy").agg(F.collect_list("line").alias("wanted"))
-    holders = texts.join(asked, "copy").select("text", "wanted")
-    words = holders.mapInArrow(tokens, "line long, tokens string").groupBy("line").agg(F.min("tokens").alias("tokens"))
+    def probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = in_bitmap(asked.value, batch.column(2).to_numpy())
+            yield batch.filter(pa.array(hit)).select(["line", "tokens"])
+
+    every = texts.select("text").mapInArrow(tokens, "line long, tokens string").withColumn("bit", filter_bit("line"))
+    words = every.mapInArrow(probable, "line long, tokens string").groupBy("line").agg(F.min("tokens").alias("tokens"))
     known = sizes.join(leaves, "leaf").join(words, "line")
     known = known.withColumn("chunk", F.pmod(F.xxhash64("line"), "chunks")).select("leaf", "chunk", "line", "tokens", "texts")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A group above 1/HOT_SHARE of all rows is hot; there are HOT_SHARE of them at most.
 HOT_SHARE = 1000
 
+FILTER_BITS = 1 << 26
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,6 +47,29 @@ def attach_groups(
     return of_hot.unionByName(others.join(groups.where(F.col(size) <= limit), list(keys), "left"))
 
 
+def filter_bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def bitmap_of(rows: DataFrame, column: str) -> np.ndarray:
+    """A filter of FILTER_BITS bits, whatever the input, that knows all values of a column.
+
+    It lets other values through the more, the fuller it is; what passes is joined as usual.
+    """
+    # Spark numbers the bits of its maps from 1
+    bits = rows.select((filter_bit(column) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    maps = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    whole = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in maps.toLocalIterator():
+        part = np.frombuffer(bytes(row.map), np.uint8)
+        whole[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
+    return whole
+
+
+def in_bitmap(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable; only linked nodes are returned.
 
