@@ -24,6 +24,21 @@ def as_exact(amount: Column, data_type: T.DataType, places: int | None = None) -
     return amount.cast(EXACT if places is None else T.DecimalType(_WORD_DIGITS, places))
 
 
+def sum_of_doubles(amount: Column, scale: int = 2) -> Column:
+    """Sum of doubles, rounded half up: exact where decimals hold all values, else the plain sum.
+
+    A decimal holds a value that is finite, below 10^17, and loses no more than 10^-9 of itself
+    at ten places. NaN and infinities therefore count as in a plain sum. Both sums are kept by
+    the same partial aggregation.
+    """
+    value = amount.cast("double")
+    exact = F.when(F.abs(value) < 1e17, value.cast(EXACT))
+    held = F.coalesce(F.abs(exact.cast("double") - value) <= F.abs(value) * 1e-9, F.lit(False))
+    plain = F.max(value.isNotNull() & ~held)
+    total = F.round(F.sum(F.when(held, exact)), scale).cast("double")
+    return F.when(plain, F.round(F.sum(value), scale)).otherwise(total)
+
+
 def round_money(amount: Column, data_type: T.DataType, scale: int = 2) -> Column:
     """Half-up rounding of the value as printed, back in the type the column came in."""
     return F.round(amount, scale).cast(data_type)
