@@ -81,8 +81,8 @@ def grow_templates(lines: list[list[str]], starts: list[list[str]] = ()) -> tupl
     return templates, place
 
 
-def recurring_lines(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """(copy, line) of all lines by text, and (line) of those whose template is in ``min_docs`` texts or more.
+def recurring_lines(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(copy, line) of the lines by text whose template is in ``min_docs`` texts or more.
 
     Tasks send hashes of lines and leaves first. Tokens are sent only for lines in leaves that
     ``min_docs`` different texts reach, once per task and line. A leaf's lines are made into templates in
@@ -102,12 +102,12 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFram
     texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("copy"), "text")
     # copies of a text count once
     lines = stage(texts.mapInArrow(keys, "copy long, leaf long, line long").distinct(), "lines")
-    reached = lines.groupBy("leaf").agg(F.count("*").alias("reached")).where(F.col("reached") >= min_docs)
-    often = lines.join(reached, "leaf", "left_semi")
-    sizes = often.groupBy("leaf", "line").agg(F.count("*").alias("texts"))
-    sizes = stage(sizes, "sizes")
-    leaves = sizes.groupBy("leaf").agg(F.count("*").alias("different"))
+    # counted by line before anything is dealt by leaf, so that a common line is one row there
+    counted = stage(lines.groupBy("leaf", "line").agg(F.count("*").alias("texts")), "counted")
+    leaves = counted.groupBy("leaf").agg(F.sum("texts").alias("reached"), F.count("*").alias("different"))
+    leaves = leaves.where(F.col("reached") >= min_docs)
     leaves = leaves.select("leaf", F.ceil(F.col("different") / CHUNK_LINES).alias("chunks"))
+    sizes = stage(counted.join(leaves, "leaf"), "sizes")
 
     # tokens are read again, of the lines asked for only
     asked = docs.sparkSession.sparkContext.broadcast(bitmap_of(sizes, "line"))
@@ -131,16 +131,16 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFram
 
     every = texts.select("text").mapInArrow(tokens, "line long, tokens string").withColumn("bit", filter_bit("line"))
     words = every.mapInArrow(probable, "line long, tokens string").groupBy("line").agg(F.min("tokens").alias("tokens"))
-    known = sizes.join(leaves, "leaf").join(words, "line")
+    known = sizes.join(words, "line")
     known = known.withColumn("chunk", F.pmod(F.xxhash64("line"), "chunks")).select("leaf", "chunk", "line", "tokens", "texts")
 
     def templates(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["texts", "line"], ascending=[False, True], ignore_index=True)
         made, place = grow_templates([t.split("\x1f") for t in group["tokens"]])
         joined = ["\x1f".join(t) for t in made]
-        return pd.DataFrame({"leaf": group["leaf"], "line": group["line"], "template": [joined[p] for p in place]})
+        return group[["leaf", "line", "texts"]].assign(template=[joined[p] for p in place])
 
-    schema = "leaf long, line long, template string"
+    schema = "leaf long, line long, texts long, template string"
     placed = stage(known.groupBy("leaf", "chunk").applyInPandas(templates, schema), "templates")
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
@@ -151,12 +151,16 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFram
 
     kinds = placed.groupBy("leaf", "template").agg(F.count("*").alias("lines"))
     finals = kinds.groupBy("leaf").applyInPandas(merged, "leaf long, template string, final string")
-    placed = stage(
-        placed.join(finals, ["leaf", "template"]).select("line", F.xxhash64("leaf", "final").alias("template")), "templates"
-    )
-    in_texts = often.join(placed, "line").groupBy("template", "copy").agg(F.lit(1).alias("one"))
-    recurs = in_texts.groupBy("template").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_docs)
-    return lines, placed.join(recurs, "template", "left_semi").select("line")
+    named = F.xxhash64("leaf", "final").alias("template")
+    placed = stage(placed.join(finals, ["leaf", "template"]).select("line", "texts", named), "templates")
+    total = lines.count()
+    of_lines = attach_groups(lines.select("copy", "line"), placed, ["line"], "texts", total)
+    of_lines = stage(of_lines.where("template IS NOT NULL").select("copy", "line", "template"), "placed")
+    in_texts = of_lines.groupBy("template", "copy").agg(F.count("*").alias("lines"))
+    recurs = in_texts.groupBy("template").agg(F.count("*").alias("texts"), F.sum("lines").alias("rows"))
+    recurs = stage(recurs.where(F.col("texts") >= min_docs).select("template", "rows"), "recurs")
+    found = attach_groups(of_lines, recurs, ["template"], "rows", total)
+    return found.where("rows IS NOT NULL").select("copy", "line")
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
@@ -172,12 +176,21 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     rows are treated alike. An empty table gives no rows; other columns stay, save those named
     n_lines or n_dropped, which are replaced.
     """
-    lines, recurring = recurring_lines(docs, min_docs)
-    dropped = lines.join(recurring, "line", "left_semi").groupBy("copy").agg(F.collect_set("line").alias("__drop"))
+    dropped = recurring_lines(docs, min_docs).groupBy("copy").agg(F.collect_set("line").alias("__drop"))
     rows = docs.drop("n_lines", "n_dropped").withColumn("__copy", F.xxhash64("text"))
     sizes = rows.groupBy("__copy").agg(F.count("*").alias("__rows"))
     groups = stage(sizes.join(dropped.withColumnRenamed("copy", "__copy"), "__copy"), "dropped")
-    found = attach_groups(rows, groups, ["__copy"], "__rows", docs.count())
+
+    # only texts that lose a line are joined; by merging, so that the plan is the same at every size
+    losing = docs.sparkSession.sparkContext.broadcast(bitmap_of(groups, "__copy"))
+
+    def probable_loss(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for bits in parts:
+            yield pd.Series(in_bitmap(losing.value, bits.to_numpy()))
+
+    rows = rows.withColumn("__loses", F.pandas_udf(probable_loss, "boolean")(filter_bit("__copy")))
+    found = attach_groups(rows.where("__loses"), groups, ["__copy"], "__rows", docs.count(), "merge")
+    found = found.unionByName(rows.where("NOT __loses"), allowMissingColumns=True)
 
     def clean(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, drops in parts:

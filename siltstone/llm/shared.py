@@ -33,18 +33,20 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
 
 
 def attach_groups(
-    rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, total: int
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, total: int, strategy: str | None = None
 ) -> DataFrame:
     """Left-join ``rows`` to one row per group on ``keys``; ``size`` counts a group's rows.
 
     Groups above 1/HOT_SHARE of ``total`` rows are broadcast: they are HOT_SHARE at most,
-    whatever the input. The others have too few rows each to skew a shuffled join.
+    whatever the input. The others have too few rows each to skew a shuffled join;
+    ``strategy`` is Spark's hint for it.
     """
     limit = max(1, total // HOT_SHARE)
     hot = F.broadcast(groups.where(F.col(size) > limit))
     of_hot = rows.join(hot, list(keys), "inner")
     others = rows.join(hot.select(*keys), list(keys), "left_anti")
-    return of_hot.unionByName(others.join(groups.where(F.col(size) <= limit), list(keys), "left"))
+    rest = groups.where(F.col(size) <= limit)
+    return of_hot.unionByName(others.join(rest.hint(strategy) if strategy else rest, list(keys), "left"))
 
 
 def filter_bit(column: str) -> Column:
