@@ -11,11 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A heavy-hitter sketch with this many counters is off by under 0.1% of the
-# rows, so every key above 1/HOT_KEYS of them is certain to be listed.
-HOT_KEYS = 64
-_SKETCH_COUNTERS = 4096
-
 # The session's threshold is meant for file sizes; the rows of such files take several
 # times the space, and rows are what is measured here.
 _ROWS_PER_FILE_BYTE = 8
@@ -111,16 +106,15 @@ def _hash_alike(fact: DataFrame, dim: DataFrame, keys: Mapping[str, str]) -> boo
 
 
 def hot_key_hashes(df: DataFrame, keys: list[str], fan_out: int) -> Column:
-    """Scalar subquery: hashes of keys that outweigh an average one of ``fan_out`` partitions.
+    """Scalar subquery: hashes of all keys that outweigh an average one of ``fan_out`` partitions.
 
-    Reads the key columns only; each task sends one sketch of fixed size.
+    Reads the key columns only. Keys are counted in every task before their counts are
+    shuffled; fewer than ``fan_out`` of them can be heavy, which bounds the list.
     """
-    sketch = df.select(_key_hash(df, keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HOT_KEYS}, {_SKETCH_COUNTERS})").alias("top"),
-        F.count("*").alias("rows"),
-    )
-    heavy = F.expr(f"transform(filter(top, t -> t.count * {fan_out} > rows), t -> t.item)")
-    return sketch.select(heavy.alias("hot")).scalar()
+    counts = df.groupBy(_key_hash(df, keys).alias("h")).agg(F.count("*").alias("n"))
+    average = df.agg((F.count("*") / F.lit(fan_out)).alias("average")).scalar()
+    heavy = counts.where(F.col("n") > average)
+    return heavy.agg(F.collect_list("h").alias("hot")).scalar()
 
 
 def _salted(

@@ -78,6 +78,16 @@ def test_hot_keys_lists_heavy_keys_only(skewed):
     assert sorted(hot) == sorted([heavy, missing])
 
 
+def test_all_keys_above_an_average_partition_are_hot(spark):
+    """150 keys with 40 rows each among 400 partitions of 20 rows on average."""
+    heavy = spark.range(0, 6000).select((F.col("id") % 150).alias("k"))
+    light = spark.range(1000, 3000).select(F.col("id").alias("k"))
+    rows = heavy.unionAll(light).repartition(7)
+    hot = rows.select(joins.hot_key_hashes(rows, ["k"], 400).alias("hot")).first().hot
+    expected = [r[0] for r in spark.range(0, 150).select(F.xxhash64("id")).collect()]
+    assert sorted(hot) == sorted(expected)
+
+
 def test_composite_key_of_different_width(spark, conf):
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
     fact = spark.range(4000, numPartitions=4).selectExpr(
