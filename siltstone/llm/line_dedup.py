@@ -90,13 +90,14 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [
-                (copy, leaf, line)
-                for copy, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for line, leaf in line_keys(text).items()
-            ]
-            columns = [pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 3
+        for batch in slices(batches):
+            copies, leaves, hashes = [], [], []
+            for copy, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = line_keys(text)
+                copies += [copy] * len(found)
+                leaves += found.values()
+                hashes += found
+            columns = [pa.array(c, pa.int64()) for c in (copies, leaves, hashes)]
             yield pa.RecordBatch.from_arrays(columns, names=["copy", "leaf", "line"])
 
     texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("copy"), "text")
