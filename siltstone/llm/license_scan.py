@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,12 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in"
         " compliance with the License. You may obtain a copy of the License at",
     ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "Licensed under the GNU Affero General Public License, version 3.",
+    ],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted"
         " provided that the following conditions are met",
@@ -32,122 +41,211 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
+    "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0 Universal."],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+        " License 2.0",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation; either version 2 of the License",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
         " General Public License as published by the Free Software Foundation, either version 3 of the License",
     ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+        " hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+        "Released under the ISC License.",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "Licensed under the GNU Lesser General Public License, version 3.",
+    ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
         " associated documentation files, to deal in the Software without restriction",
     ],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "all-rights-reserved": ["All rights reserved."],
 }
 
 _TERM = re.compile(r"[^\W_]+")
 _LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice|copyright)([.\-_][^/]*)?$"
-COMMON_SHARE = 0.2
+LEAST_COSINE = 0.6
+# Document frequencies are kept by hash of the term: a fixed size, whatever the corpus.
+TERM_BITS = 20
 
 
 def terms(text: str) -> list[str]:
     return _TERM.findall(text.lower())
 
 
-def template_vocabulary(templates: dict[str, list[str]]) -> list[str]:
-    return sorted({t for forms in templates.values() for form in forms for t in terms(form)})
+def term_bucket(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term) >> (64 - TERM_BITS)
+
+
+@dataclass(frozen=True)
+class Form:
+    """One template: its licence, its number of terms, the unit vector of its TF-IDF weights, and its anchors.
+
+    Any text whose cosine to the form is the least one or more shares terms with it whose squared
+    weights add up to that cosine's square. The anchors are the heaviest terms, as many as leave less
+    than that to the others: such a text holds one of them, however common they are.
+    """
+
+    name: str
+    length: int
+    vector: dict[str, float]
+    anchors: frozenset[str]
 
 
 @dataclass(frozen=True)
 class LicenceModel:
-    """Unit TF-IDF vectors of the templates over their vocabulary, and the weight of any other term."""
+    """The templates' forms, and document frequencies of all terms by bucket."""
 
-    names: list[str]
-    vocabulary: dict[str, int]
-    weights: np.ndarray
-    other: float
-    vectors: np.ndarray
-    telling: re.Pattern
+    forms: list[Form]
+    documents: int
+    frequency: np.ndarray
+    least: float
 
     @staticmethod
-    def of(templates: dict[str, list[str]], documents: int, frequency: dict[str, int]) -> LicenceModel:
-        words = template_vocabulary(templates)
-        place = {w: k for k, w in enumerate(words)}
-        idf = np.log((1 + documents) / (1 + np.array([frequency.get(w, 0) for w in words]))) + 0.1
-        names, rows = [], []
+    def of(
+        templates: dict[str, list[str]], documents: int, frequency: np.ndarray, least: float = LEAST_COSINE
+    ) -> LicenceModel:
+        model = LicenceModel([], documents, frequency, least)
         for name in sorted(templates):
             for form in templates[name]:
-                row = np.zeros(len(words))
-                for term, n in Counter(terms(form)).items():
-                    row[place[term]] = n * idf[place[term]]
-                names.append(name)
-                rows.append(row / np.linalg.norm(row))
-        # every template has telling terms: those that few documents have, or its rarest one
-        telling = {w for w in words if frequency.get(w, 0) <= COMMON_SHARE * documents}
-        telling |= {words[int(np.argmax(np.where(row > 0, idf, -1)))] for row in rows}
-        pattern = re.compile(r"(?<![^\W_])(?:" + "|".join(map(re.escape, sorted(telling))) + r")(?![^\W_])", re.I)
-        return LicenceModel(names, place, idf, float(np.log(1 + documents) + 0.1), np.array(rows), pattern)
-
-    def best(self, text: str) -> tuple[str | None, float]:
-        """The template nearest to a text and its cosine; ties go to the first name."""
-        counts = Counter(terms(text))
-        if not counts:
-            return None, 0.0
-        row, squares = np.zeros(len(self.weights)), 0.0
-        for term, n in counts.items():
-            k = self.vocabulary.get(term)
-            if k is None:
-                squares += (n * self.other) ** 2
-            else:
-                row[k] = n * self.weights[k]
-        squares += float(row @ row)
-        cosines = self.vectors @ row / np.sqrt(squares)
-        at = int(cosines.argmax())
-        return self.names[at], float(cosines[at])
+                counts = Counter(terms(form))
+                row = {t: n * model.weight(t) for t, n in counts.items()}
+                norm = math.sqrt(sum(x * x for x in row.values()))
+                vector = {t: x / norm for t, x in row.items()}
+                anchors, left = set(), 1.0
+                for term in sorted(vector, key=lambda t: (-vector[t], t)):
+                    if left < least * least - 1e-9:
+                        break
+                    anchors.add(term)
+                    left -= vector[term] ** 2
+                model.forms.append(Form(name, sum(counts.values()), vector, frozenset(anchors)))
+        return model
+
+    def weight(self, term: str) -> float:
+        return math.log((1 + self.documents) / (1 + int(self.frequency[term_bucket(term)]))) + 0.1
+
+    @cached_property
+    def anchored(self) -> dict[str, list[int]]:
+        """The forms that a term is an anchor of."""
+        found: dict[str, list[int]] = {}
+        for k, form in enumerate(self.forms):
+            for term in form.anchors:
+                found.setdefault(term, []).append(k)
+        return found
+
+    def best_window(self, form: Form, words: list[str], start: int, end: int) -> float:
+        """The highest cosine to a form of its length in words[start:end], by counts that slide along."""
+        length = min(form.length, end - start)
+        weight = {t: self.weight(t) ** 2 for t in set(words[start:end])}
+        root = {t: math.sqrt(x) * form.vector.get(t, 0.0) for t, x in weight.items()}
+        counts: Counter[str] = Counter()
+        dot = squares = best = 0.0
+        for at in range(start, end):
+            term = words[at]
+            squares += (2 * counts[term] + 1) * weight[term]
+            dot += root[term]
+            counts[term] += 1
+            if at - start >= length:
+                gone = words[at - length]
+                counts[gone] -= 1
+                squares -= (2 * counts[gone] + 1) * weight[gone]
+                dot -= root[gone]
+            if at - start >= length - 1:
+                best = max(best, dot / math.sqrt(squares))
+        return best
 
     def scan(self, text: str) -> tuple[str | None, float, int, int]:
-        """Best statement in a whole text: name, cosine, its words, and the words of the text.
+        """Best statement in a whole text: licence, cosine, its words, and the words of the text.
 
-        Lines with telling terms are scored alone, and runs of them together.
+        A statement is a run of as many words as the template has, anywhere, across lines. All runs with
+        an anchor of the template are looked at. Of equal cosines the longest counts, then the first name.
         """
-        name, cosine, words, total, run = None, 0.0, 0, 0, []
-        for line in [*text.split("\n"), ""]:
-            total += len(line.split())
-            if line and self.telling.search(line):
-                run.append(line)
-                continue
-            for part in ["\n".join(run), *run] if len(run) > 1 else run:
-                found, value = self.best(part)
-                if value > cosine:
-                    name, cosine, words = found, value, len(part.split())
-            run = []
-        return name, cosine, words, total
-
-
-def _fit(files: DataFrame, templates: dict[str, list[str]]) -> LicenceModel:
-    """Document frequencies of the templates' terms over all files; tasks send one row per term."""
-    words = template_vocabulary(templates)
-    asked = frozenset(words)
+        words = terms(text)
+        anchored = self.anchored
+        places: dict[int, list[int]] = {}
+        if not anchored.keys().isdisjoint(words):
+            for at, word in enumerate(words):
+                for k in anchored.get(word, ()):
+                    places.setdefault(k, []).append(at)
+        found = (0.0, 0, "")
+        for k in sorted(places):
+            form = self.forms[k]
+            length, spans = min(form.length, len(words)), []
+            for at in places[k]:
+                start, end = max(0, at - length + 1), min(len(words), at + length)
+                if spans and start <= spans[-1][1]:
+                    spans[-1][1] = end
+                else:
+                    spans.append([start, end])
+            for start, end in spans:
+                shared = sum(form.vector[t] ** 2 for t in form.vector.keys() & set(words[start:end]))
+                if shared < self.least * self.least - 1e-9:
+                    continue
+                cosine = round(min(1.0, self.best_window(form, words, start, end)), 9)
+                if cosine >= self.least and (cosine, length) > found[:2]:
+                    found = (cosine, length, form.name)
+        return found[2] or None, found[0], found[1], len(words)
+
+
+def _fit(files: DataFrame, templates: dict[str, list[str]], least_cosine: float) -> LicenceModel:
+    """Document frequencies of all terms over all files; tasks send one row per bucket of terms."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << TERM_BITS, np.int64)
         seen: Counter[str] = Counter()
+
+        def take() -> None:
+            np.add.at(total, [term_bucket(t) for t in seen], list(seen.values()))
+            seen.clear()
+
         for batch in batches:
             for text in batch["text"]:
-                seen.update(asked.intersection(terms(text or "")))
-        yield pd.DataFrame(seen.items(), columns=["term", "n"])
+                seen.update(set(terms(text or "")))
+                if len(seen) > 200_000:
+                    take()
+        if seen:
+            take()
+        held = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": held, "n": total[held]})
 
-    counts = files.select("text").mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return LicenceModel.of(templates, files.count(), {r.term: r.n for r in counts.collect()})
+    counts = files.select("text").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    frequency = np.zeros(1 << TERM_BITS, np.int64)
+    for row in counts.toLocalIterator():
+        frequency[row.bucket] = row.n
+    return LicenceModel.of(templates, files.count(), frequency, least_cosine)
 
 
 def scan_licences(
-    files: DataFrame, templates: dict[str, list[str]] | None = None, least_cosine: float = 0.6
+    files: DataFrame, templates: dict[str, list[str]] | None = None, least_cosine: float = LEAST_COSINE
 ) -> DataFrame:
     """``files`` (path, text, ...) with own_licence, cosine, licence_file, licence and inherited_from added, text left out.
 
     A file's own licence is the template nearest to a statement anywhere in its text, if the cosine
-    of their TF-IDF vectors is ``least_cosine`` or more. A licence file has such a
+    of their TF-IDF vectors is ``least_cosine`` or more; ``cosine`` is 0 without one. A statement has as many words as its
+    template. A licence file has such a
     name, or is a statement for half its words; it licenses its directory: files of such names
     come first, then the highest cosine, then the licence's name. A file without a licence of its own inherits from the nearest directory
     above it that is licensed: directories, not files, are joined to their ancestors.
@@ -156,7 +254,7 @@ def scan_licences(
     files of their own. An empty table gives no rows; other columns stay, save those with the names added,
     which are replaced.
     """
-    model = files.sparkSession.sparkContext.broadcast(_fit(files, templates or TEMPLATES))
+    model = files.sparkSession.sparkContext.broadcast(_fit(files, templates or TEMPLATES, least_cosine))
 
     def scan(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:

@@ -291,3 +291,18 @@ def test_empty_tables_give_no_rows(spark, odd):
         license_scan.scan_licences(none.selectExpr("source AS path", "text")),
     ]
     assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_a_licence_held_by_a_third_of_all_files_is_found_wrapped_and_inside_lines(spark):
+    rng = np.random.default_rng(4)
+    mpl, gpl2 = license_scan.TEMPLATES["MPL-2.0"][0], license_scan.TEMPLATES["GPL-2.0"][1]
+    words = mpl.split()
+    rows = []
+    for n in range(300):
+        own = " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(40)) + " the of this and is to"
+        wrapped = "\n".join(" * " + " ".join(words[k : k + 4]) for k in range(0, len(words), 4))
+        head = [f"/*\n{wrapped}\n */", "", ""][n % 3]
+        rows.append((f"/r{n}/x{n}", f"{head}\n{own}" if n % 50 != 1 else f"{own} {gpl2} {own}"))
+    found = license_scan.scan_licences(spark.createDataFrame(rows, "path string, text string")).collect()
+    want = {f"/r{n}/x{n}": "GPL-2.0" if n % 50 == 1 else [("MPL-2.0"), None, None][n % 3] for n in range(300)}
+    assert {r.path: r.own_licence for r in found} == want
