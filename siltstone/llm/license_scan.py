@@ -88,6 +88,8 @@ TEMPLATES = {
 _TERM = re.compile(r"[^\W_]+")
 _LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice|copyright)([.\-_][^/]*)?$"
 LEAST_COSINE = 0.6
+WORDS = ["statement_words", "text_words"]
+ADDED = ["own_licence", "cosine", "licence_file", "licence", "inherited_from"]
 # Document frequencies are kept by hash of the term: a fixed size, whatever the corpus.
 TERM_BITS = 20
 
@@ -238,22 +240,10 @@ def _fit(files: DataFrame, templates: dict[str, list[str]], least_cosine: float)
     return LicenceModel.of(templates, files.count(), frequency, least_cosine)
 
 
-def scan_licences(
+def stated_licences(
     files: DataFrame, templates: dict[str, list[str]] | None = None, least_cosine: float = LEAST_COSINE
 ) -> DataFrame:
-    """``files`` (path, text, ...) with own_licence, cosine, licence_file, licence and inherited_from added, text left out.
-
-    A file's own licence is the template nearest to a statement anywhere in its text, if the cosine
-    of their TF-IDF vectors is ``least_cosine`` or more; ``cosine`` is 0 without one. A statement has as many words as its
-    template. A licence file has such a
-    name, or is a statement for half its words; it licenses its directory: files of such names
-    come first, then the highest cosine, then the licence's name. A file without a licence of its own inherits from the nearest directory
-    above it that is licensed: directories, not files, are joined to their ancestors.
-
-    Null or empty texts state nothing. A null path has no directory. Repeated paths are
-    files of their own. An empty table gives no rows; other columns stay, save those with the names added,
-    which are replaced.
-    """
+    """``files`` with own_licence, cosine, and statement_words and text_words, which are numbers of words, instead of text."""
     model = files.sparkSession.sparkContext.broadcast(_fit(files, templates or TEMPLATES, least_cosine))
 
     def scan(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -261,24 +251,51 @@ def scan_licences(
             found = [model.value.scan(text or "") for text in texts]
             yield pd.DataFrame(found, columns=["name", "cosine", "words", "total"])
 
-    added = ["own_licence", "cosine", "licence_file", "licence", "inherited_from"]
     scanned = F.pandas_udf(scan, "name string, cosine double, words long, total long")
-    stated = F.col("__s.cosine") >= least_cosine
     rows = (
-        files.drop(*added)
+        files.drop("own_licence", "cosine", *WORDS)
         .withColumn("__s", scanned("text"))
         .drop("text")
-        .withColumn("own_licence", F.when(stated, F.col("__s.name")))
+        .withColumn("own_licence", F.col("__s.name"))
         .withColumn("cosine", F.col("__s.cosine"))
-        .withColumn(
-            "licence_file",
-            F.coalesce(stated & (F.col("path").rlike(_LICENCE_FILE) | (F.col("__s.words") * 2 >= F.col("__s.total"))), F.lit(False)),
-        )
-        .withColumn("__named", F.coalesce(F.col("path").rlike(_LICENCE_FILE), F.lit(False)))
+        .withColumn("statement_words", F.col("__s.words"))
+        .withColumn("text_words", F.col("__s.total"))
+    )
+    return stage(rows.drop("__s"), "stated")
+
+
+def scan_licences(
+    files: DataFrame, templates: dict[str, list[str]] | None = None, least_cosine: float = LEAST_COSINE
+) -> DataFrame:
+    """``files`` (path, text, ...) with own_licence, cosine, licence_file, licence and inherited_from added, text left out.
+
+    A file's own licence is the template nearest to a statement anywhere in its text, if the cosine
+    of their TF-IDF vectors is ``least_cosine`` or more; ``cosine`` is 0 without one. A statement has as many words as its
+    template. Licences of directories are as in ``inherit_licences``.
+
+    Null or empty texts state nothing. Repeated paths are files of their own. An empty table gives no rows;
+    other columns stay, save those with the names added, which are replaced.
+    """
+    return inherit_licences(stated_licences(files.drop(*ADDED), templates, least_cosine))
+
+
+def inherit_licences(stated: DataFrame) -> DataFrame:
+    """Rows of ``stated_licences`` that have a path, with licence_file, licence and inherited_from added.
+
+    A licence file has such a
+    name, or is a statement for half its words; it licenses its directory: files of such names
+    come first, then the highest cosine, then the licence's name. A file without a licence of its own inherits from the nearest directory
+    above it that is licensed: directories, not files, are joined to their ancestors. A null path has no directory.
+    """
+    mostly = F.col("statement_words") * 2 >= F.col("text_words")
+    named = F.coalesce(F.col("path").rlike(_LICENCE_FILE), F.lit(False))
+    rows = (
+        stated.drop("licence_file", "licence", "inherited_from")
+        .withColumn("licence_file", F.col("own_licence").isNotNull() & (named | mostly))
+        .withColumn("__named", named)
         .withColumn("__dir", F.regexp_replace("path", "/[^/]*$", ""))
-        .drop("__s")
+        .drop(*WORDS)
     )
-    rows = stage(rows, "scanned")
     best = F.min(F.struct(~F.col("__named"), -F.round("cosine", 6), F.col("own_licence"))).alias("best")
     licensed = rows.where("licence_file AND __dir IS NOT NULL").groupBy("__dir").agg(best)
     licensed = licensed.select(F.col("__dir").alias("above"), F.col("best.own_licence").alias("licence"))

@@ -13,7 +13,7 @@ from siltstone.llm.embedding_dedup import embedding_components
 from siltstone.llm.exact_dedup import exact_groups
 from siltstone.llm.jaccard_join import jaccard_components
 from siltstone.llm.language_id import identify_languages
-from siltstone.llm.license_scan import scan_licences
+from siltstone.llm.license_scan import inherit_licences, stated_licences
 from siltstone.llm.line_dedup import drop_recurring_lines
 from siltstone.llm.mixing import mix_sources
 from siltstone.llm.packing import pack_documents
@@ -24,9 +24,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: a source is a repository, and ids fill its directories by 1,000 and 50."""
-    path = F.expr("concat_ws('/', '', coalesce(source, ''), doc_id div 1000, doc_id div 50, doc_id)")
-    return scan_licences(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+    """Documents as files of repositories, which are sources: a tree of unequal depth, made from the rows.
+
+    Ids fill directories by 1,000, 200, 50 and 10, and a document lies 0 to 4 of these deep. Documents that are a licence
+    statement for a twentieth of their words are licence files: at the top of their source if for half of their words,
+    else at the top of one of their ranges of ids.
+    """
+    stated = stated_licences(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    pick = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    share = F.when(F.col("own_licence").isNotNull(), F.col("statement_words") / F.col("text_words"))
+    depth = F.when(share >= 0.5, 0).when(share >= 0.05, 1 + pick % 3).otherwise(pick % 5).cast("int")
+    name = F.when(share >= 0.05, F.concat(F.lit("LICENSE."), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    ranges = F.array(*[F.expr(f"coalesce(string(doc_id div {n}), '')") for n in (1000, 200, 50, 10)])
+    top = F.array(F.lit(""), F.coalesce("source", F.lit("")))
+    last = F.array(F.coalesce(name, F.col("doc_id").cast("string"), F.lit("")))
+    path = F.array_join(F.concat(top, F.slice(ranges, F.lit(1), depth), last), "/")
+    return inherit_licences(stated.select("doc_id", path.alias("path"), "own_licence", "cosine", "statement_words", "text_words"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

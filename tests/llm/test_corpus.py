@@ -306,3 +306,29 @@ def test_a_licence_held_by_a_third_of_all_files_is_found_wrapped_and_inside_line
     found = license_scan.scan_licences(spark.createDataFrame(rows, "path string, text string")).collect()
     want = {f"/r{n}/x{n}": "GPL-2.0" if n % 50 == 1 else [("MPL-2.0"), None, None][n % 3] for n in range(300)}
     assert {r.path: r.own_licence for r in found} == want
+
+
+def test_licence_query_inherits_over_several_levels_like_brute_force(spark):
+    rows = [r.asDict() for r in QUERIES["op1_license_scan"](spark, "/root/testdata/sf0.1").collect()]
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()}
+    assert len(rows) == len(texts) and {len(r["path"].split("/")) for r in rows} == {3, 4, 5, 6, 7}
+    licensed = {}
+    for r in rows:
+        directory, name = r["path"].rsplit("/", 1)
+        if r["licence_file"]:
+            order = (not name.startswith("LICENSE"), -round(r["cosine"], 6), r["own_licence"])
+            licensed[directory] = min(licensed.get(directory, order), order)
+        else:
+            assert not (r["own_licence"] and name.startswith("LICENSE"))
+        assert r["own_licence"] is None or "licen" in texts[r["doc_id"]].lower() or "rights reserved" in texts[r["doc_id"]]
+    levels = Counter()
+    for r in rows:
+        above = r["path"].rsplit("/", 1)[0]
+        own = above
+        while above and above not in licensed:
+            above = above.rpartition("/")[0]
+        want = (r["own_licence"], None) if r["own_licence"] else (licensed[above][2], above) if above else (None, None)
+        assert (r["licence"], r["inherited_from"]) == want
+        if want[1]:
+            levels[own.count("/") - above.count("/")] += 1
+    assert sum(levels.values()) >= 1000 and len(levels) >= 3 and sum(n for k, n in levels.items() if k) >= 500
