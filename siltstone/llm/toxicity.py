@@ -16,6 +16,15 @@ from siltstone.llm.shared import id_remainder
 from siltstone.sinks.staging import stage
 
 _WORD = re.compile(r"[^\W\d_]+")
+# A term takes part in pairs from so many rows on.
+LEAST_ROWS = 5
+# In texts of more such terms every pair counts less, or the many pairs of long texts drown the weights.
+PAIR_TERMS = 60
+L1_OF_5000 = 15.0
+
+
+def pair_share(paired: np.ndarray) -> float:
+    return min(1.0, PAIR_TERMS / max(1, len(paired)))
 
 
 def term_buckets(text: str | None, bits: int, start_letters: int = 5) -> np.ndarray:
@@ -28,17 +37,22 @@ def term_buckets(text: str | None, bits: int, start_letters: int = 5) -> np.ndar
 
 @dataclass
 class FactorizationMachine:
-    """score = sigmoid(bias + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2)) over a text's terms."""
+    """score = sigmoid(bias + sum w_i + share/2 sum_f ((sum v_if)^2 - sum v_if^2)) over a text's terms.
+
+    Pairs are those of terms met ``often``; ``share`` is ``pair_share`` of these.
+    """
 
     bias: float
     weight: np.ndarray
     factors: np.ndarray
+    often: np.ndarray
     bits: int
 
     def margin(self, terms: np.ndarray) -> float:
-        v = self.factors[terms]
+        paired = terms[self.often[terms]]
+        v = self.factors[paired]
         pairs = 0.5 * (v.sum(axis=0) ** 2 - (v * v).sum(axis=0)).sum()
-        return float(self.bias + self.weight[terms].sum() + pairs)
+        return float(self.bias + self.weight[terms].sum() + pair_share(paired) * pairs)
 
     def score(self, text: str | None) -> float:
         margin = self.margin(term_buckets(text, self.bits))
@@ -50,7 +64,7 @@ class Learner:
     """Parameters under training: FTRL sums for the weights, AdaGrad sums for the factors.
 
     A weight is zero until its gradients add up to more than ``l1``, which a term met a few
-    times doesn't reach, and a term takes part in pairs once its weight isn't zero.
+    times doesn't reach. Terms that are ``often`` met take part in pairs, whatever their weights.
     """
 
     bias: float
@@ -58,8 +72,9 @@ class Learner:
     seen: np.ndarray
     factors: np.ndarray
     factors_seen: np.ndarray
+    often: np.ndarray
+    l1: float
     rate: float = 1.0
-    l1: float = 15.0
     l2: float = 0.01
     factor_rate: float = 0.05
     factor_decay: float = 0.05
@@ -69,39 +84,43 @@ class Learner:
         free = pull - np.sign(pull) * self.l1
         return np.where(np.abs(pull) <= self.l1, 0.0, -free / (np.sqrt(self.seen[terms]) / self.rate + self.l2))
 
-    def learn(self, terms: np.ndarray, label: float, cost: float) -> None:
+    def learn(self, terms: np.ndarray, label: float, cost: float, pairs: bool) -> None:
         weight = self.weights(terms)
-        paired = terms[weight != 0]
+        paired = terms[self.often[terms]] if pairs else terms[:0]
+        share = pair_share(paired)
         v = self.factors[paired]
         total = v.sum(axis=0)
-        margin = self.bias + weight.sum() + 0.5 * (total * total - (v * v).sum(axis=0)).sum()
+        margin = self.bias + weight.sum() + 0.5 * share * (total * total - (v * v).sum(axis=0)).sum()
         slope = (1.0 / (1.0 + np.exp(-np.clip(margin, -40, 40))) - label) * cost
         self.bias -= 0.05 * slope
         seen = self.seen[terms]
         self.pull[terms] += slope - (np.sqrt(seen + slope * slope) - np.sqrt(seen)) / self.rate * weight
         self.seen[terms] = seen + slope * slope
         if len(paired) > 1:
-            step = slope * (total - v) + self.factor_decay * abs(slope) * v
+            step = share * (slope * (total - v) + self.factor_decay * abs(slope) * v)
             self.factors_seen[paired] += step * step
             self.factors[paired] -= self.factor_rate * step / np.sqrt(self.factors_seen[paired])
 
-    def pass_over(self, rows: list[tuple[np.ndarray, float]], seed: int) -> None:
-        """All rows once, in a seeded order; both labels weigh the same, so that few toxic rows count."""
+    def pass_over(self, rows: list[tuple[np.ndarray, float]], seed: int, pairs: bool) -> None:
+        """All rows once, in a seeded order; both labels weigh the same, so that few toxic rows count.
+
+        Without ``pairs`` only weights are learned.
+        """
         toxic = min(max(float(np.mean([y for _, y in rows])), 1e-3), 1 - 1e-3)
         cost = {1.0: 0.5 / toxic, 0.0: 0.5 / (1 - toxic)}
         for at in np.random.default_rng(seed).permutation(len(rows)):
-            self.learn(*rows[at], cost[rows[at][1]])
+            self.learn(*rows[at], cost[rows[at][1]], pairs)
 
     def packed(self) -> bytes:
         parts = [self.pull, self.seen, self.factors.ravel(), self.factors_seen.ravel(), np.array([self.bias])]
         return np.concatenate(parts).astype("<f4").tobytes()
 
     @staticmethod
-    def mean(blocks: list[bytes], bits: int, rank: int) -> Learner:
+    def mean(blocks: list[bytes], bits: int, rank: int, often: np.ndarray, l1: float) -> Learner:
         n = 1 << bits
         both = np.mean([np.frombuffer(b, "<f4") for b in blocks], axis=0, dtype=np.float64)
         pull, seen, factors, factors_seen, bias = np.split(both, [n, 2 * n, (2 + rank) * n, (2 + 2 * rank) * n])
-        return Learner(float(bias[0]), pull, seen, factors.reshape(n, rank), factors_seen.reshape(n, rank))
+        return Learner(float(bias[0]), pull, seen, factors.reshape(n, rank), factors_seen.reshape(n, rank), often, l1)
 
 
 def sample_labels(marks: DataFrame, sample_rows: int) -> DataFrame:
@@ -115,13 +134,32 @@ def sample_labels(marks: DataFrame, sample_rows: int) -> DataFrame:
     return marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < wanted * 1_000_000)
 
 
+def _rows_with(rows: DataFrame, size: int) -> np.ndarray:
+    """How many rows hold each term; tasks send one row per term."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for terms in batch["terms"]:
+                total[np.frombuffer(terms, "<i4")] += 1
+        held = np.flatnonzero(total)
+        yield pd.DataFrame({"term": held, "n": total[held]})
+
+    counts = rows.select("terms").mapInPandas(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = np.zeros(size, np.int64)
+    for row in counts.collect():
+        found[row.term] = row.n
+    return found
+
+
 def train_toxicity_model(
     labelled: DataFrame, bits: int = 16, rank: int = 4, part_rows: int = 5000, passes: int = 4, seed: int = 11
 ) -> FactorizationMachine:
     """Fit on a bounded number of rows with (text, label 0/1, pick); ``pick`` is any fixed hash of the row.
 
     The rows' hashed terms are dealt to parts of about ``part_rows``. In every pass a task
-    per part goes on from the common parameters, and the results are averaged; parameters
+    per part goes on from the common parameters, and the results are averaged; the first pass
+    learns weights alone, so that pairs learn what these leave. Parameters
     have a fixed size, (2 + 2 x ``rank``) x 2**``bits``.
     """
     spark = labelled.sparkSession
@@ -139,20 +177,23 @@ def train_toxicity_model(
     if len(sizes) < 2:
         # nothing to tell apart: the one label known, or even odds
         bias = {0: -2.0, 1: 2.0}.get(next(iter(sizes), None), 0.0)
-        return FactorizationMachine(bias, np.zeros(size), np.zeros((size, rank)), bits)
+        return FactorizationMachine(bias, np.zeros(size), np.zeros((size, rank)), np.zeros(size, bool), bits)
     parts = -(-sum(sizes.values()) // part_rows)
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("pick", "terms"), F.lit(parts)))
     start = np.random.default_rng(seed).normal(0, 0.02, (size, rank))
-    state = Learner(0.0, np.zeros(size), np.zeros(size), start, np.ones((size, rank)))
+    often = _rows_with(rows, size) >= LEAST_ROWS
+    # gradients of a term that tells nothing add up to the root of the rows learned
+    l1 = L1_OF_5000 * float(np.sqrt(sum(sizes.values()) / parts / 5000))
+    state = Learner(0.0, np.zeros(size), np.zeros(size), start, np.ones((size, rank)), often, l1)
 
-    def pass_of(shared, step_seed: int):
+    def pass_of(shared, step_seed: int, with_pairs: bool):
         def learn(group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values(["pick", "terms"], ignore_index=True)
             pairs = [
                 (np.frombuffer(t, "<i4").astype(np.int64), float(y)) for t, y in zip(group["terms"], group["label"])
             ]
-            own = Learner.mean([shared.value], bits, rank)
-            own.pass_over(pairs, step_seed)
+            own = Learner.mean([shared.value], bits, rank, often, l1)
+            own.pass_over(pairs, step_seed, with_pairs)
             return pd.DataFrame({"block": [own.packed()]})
 
         return learn
@@ -160,11 +201,10 @@ def train_toxicity_model(
     for number in range(passes):
         shared = spark.sparkContext.broadcast(state.packed())
         # one block of fixed size for each part
-        learned = dealt.groupBy("part").applyInPandas(pass_of(shared, seed + number), "block binary").collect()
-        state = Learner.mean([bytes(row.block) for row in learned], bits, rank)
+        learned = dealt.groupBy("part").applyInPandas(pass_of(shared, seed + number, number > 0), "block binary").collect()
+        state = Learner.mean([bytes(row.block) for row in learned], bits, rank, often, l1)
         shared.unpersist()
-    weight = state.weights()
-    return FactorizationMachine(state.bias, weight, state.factors * (weight != 0)[:, None], bits)
+    return FactorizationMachine(state.bias, state.weights(), state.factors, often, bits)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> DataFrame:

@@ -332,3 +332,17 @@ def test_licence_query_inherits_over_several_levels_like_brute_force(spark):
         if want[1]:
             levels[own.count("/") - above.count("/")] += 1
     assert sum(levels.values()) >= 1000 and len(levels) >= 3 and sum(n for k, n in levels.items() if k) >= 500
+
+
+def test_toxicity_learns_pairs_of_words_that_tell_nothing_alone(spark):
+    rng = np.random.default_rng(6)
+    docs, labels = [], []
+    for n in range(2500):
+        group, verb = rng.integers(0, 2, 2)
+        words = [f"f{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in rng.integers(0, 300, 20)]
+        words += [f"{'xy'[group]}group{'abc'[rng.integers(3)]}", f"{'uv'[verb]}verb{'abc'[rng.integers(3)]}"]
+        docs.append((n, " ".join(rng.permutation(words))))
+        labels.append((n, int(group == verb)))
+    found = score_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    toxic = dict(labels)
+    assert np.mean([r.predicted == toxic[r.doc_id] for r in found.where("held_out").collect()]) > 0.95
