@@ -20,6 +20,7 @@ VARIABLE = "<*>"
 LEADING_TOKENS = 3
 SIMILAR = 0.7
 CHUNK_LINES = 2000
+IDLE_ROUNDS = 2
 
 _VARIABLE = re.compile(r"\d")
 
@@ -81,12 +82,84 @@ def grow_templates(lines: list[list[str]], starts: list[list[str]] = ()) -> tupl
     return templates, place
 
 
+def dealt_templates(kinds: DataFrame, number: int) -> DataFrame:
+    """``kinds`` (leaf, template, lines) with chunk; no chunk has many more than CHUNK_LINES templates.
+
+    A leaf of up to CHUNK_LINES is one chunk, 0. The templates of a larger one are dealt by one token after the leading
+    ones, another in each round, and where very many have the same by the next token as well, and then by
+    all tokens.
+    """
+    sizes = kinds.groupBy("leaf").agg(F.count("*").alias("__n"))
+    large = stage(sizes.where(F.col("__n") > CHUNK_LINES), "large")
+    total = kinds.count()
+    rows = attach_groups(kinds, large, ["leaf"], "__n", total)
+    small = rows.where("__n IS NULL").withColumn("chunk", F.lit("0"))
+    # the tokens are turned, so that another one is the first after the leading ones in every round
+    rest = F.slice(F.split("template", "\x1f"), LEADING_TOKENS + 1, 1 << 30)
+    first = F.pmod(F.lit(number), F.greatest(F.size(rest), F.lit(1)))
+    turned = F.concat(F.slice(rest, first + 1, F.size(rest)), F.slice(rest, F.lit(1), first))
+    open_rows = rows.where("__n IS NOT NULL").withColumn("__turned", turned)
+    # few templates of one token share a chunk with those of others; many get chunks of their own
+    open_rows = open_rows.withColumn("__token", F.xxhash64(F.slice("__turned", 1, 1)))
+    open_rows = stage(open_rows.withColumn("__two", F.xxhash64(F.slice("__turned", 1, 2))).drop("__turned"), "turned")
+    for key in ("__token", "__two"):
+        counts = open_rows.groupBy("leaf", key).agg(F.count("*").alias(f"{key}_n"))
+        often = stage(counts.where(F.col(f"{key}_n") > CHUNK_LINES), "often")
+        open_rows = attach_groups(open_rows, often, ["leaf", key], f"{key}_n", total)
+
+    def part(size: str, of: str):
+        return F.pmod(F.xxhash64(of), F.ceil(F.col(size) / CHUNK_LINES))
+
+    by_token = F.concat_ws(":", F.lit("t"), part("__n", "__token"))
+    by_two = F.concat_ws(":", F.lit("u"), "__token", part("__token_n", "__two"))
+    by_all = F.concat_ws(":", F.lit("v"), "__two", part("__two_n", "template"))
+    chunk = F.when(F.col("__token_n").isNull(), by_token).when(F.col("__two_n").isNull(), by_two).otherwise(by_all)
+    columns = ["leaf", "template", "lines", "chunk"]
+    return small.select(*columns).unionByName(open_rows.withColumn("chunk", chunk).select(*columns))
+
+
+def merge_templates(kinds: DataFrame) -> DataFrame:
+    """(leaf, template, final) for every row of ``kinds`` (leaf, template, lines): templates of a leaf that agree become one.
+
+    Rounds of chunks: in each, the templates of a chunk are grown into fewer. A leaf is done when one
+    chunk holds it. The others go on until their number has not fallen for IDLE_ROUNDS rounds.
+    """
+
+    def merged(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["lines", "template"], ascending=[False, True], ignore_index=True)
+        made, place = grow_templates([t.split("\x1f") for t in group["template"]])
+        final = ["\x1f".join(t) for t in made]
+        out = group[["leaf", "template", "lines"]].assign(final=[final[p] for p in place])
+        return out.assign(done=group["chunk"] == "0")
+
+    schema = "leaf long, template string, lines long, final string, done boolean"
+    number, idle, before, finals = 0, 0, None, None
+    while True:
+        step = dealt_templates(kinds, number).groupBy("leaf", "chunk").applyInPandas(merged, schema)
+        step = stage(step, "merged")
+        if finals is None:
+            finals = step.select("leaf", "template", "final", "done")
+        else:
+            then = step.select("leaf", F.col("template").alias("final"), F.col("final").alias("then"), F.col("done").alias("now"))
+            finals = finals.join(then, ["leaf", "final"], "left").select(
+                "leaf", "template", F.coalesce("then", "final").alias("final"), F.coalesce("now", "done").alias("done")
+            )
+            finals = stage(finals, "finals")
+        rest = step.where("NOT done").groupBy("leaf", F.col("final").alias("template")).agg(F.sum("lines").alias("lines"))
+        kinds = stage(rest, "kinds")
+        left = kinds.count()
+        idle = idle + 1 if left == before else 0
+        if left == 0 or idle == IDLE_ROUNDS:
+            return finals.select("leaf", "template", "final")
+        number, before = number + 1, left
+
+
 def recurring_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """(copy, line) of the lines by text whose template is in ``min_docs`` texts or more.
 
     Tasks send hashes of lines and leaves first. Tokens are sent only for lines in leaves that
     ``min_docs`` different texts reach, once per task and line. A leaf's lines are made into templates in
-    chunks of about CHUNK_LINES, and the chunks' templates into the leaf's.
+    chunks of about CHUNK_LINES, and the chunks' templates into the leaf's by ``merge_templates``.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,14 +217,8 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     schema = "leaf long, line long, texts long, template string"
     placed = stage(known.groupBy("leaf", "chunk").applyInPandas(templates, schema), "templates")
 
-    def merged(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["lines", "template"], ascending=[False, True], ignore_index=True)
-        made, place = grow_templates([t.split("\x1f") for t in group["template"]])
-        final = ["\x1f".join(t) for t in made]
-        return pd.DataFrame({"leaf": group["leaf"], "template": group["template"], "final": [final[p] for p in place]})
-
-    kinds = placed.groupBy("leaf", "template").agg(F.count("*").alias("lines"))
-    finals = kinds.groupBy("leaf").applyInPandas(merged, "leaf long, template string, final string")
+    kinds = stage(placed.groupBy("leaf", "template").agg(F.count("*").alias("lines")), "kinds")
+    finals = merge_templates(kinds)
     named = F.xxhash64("leaf", "final").alias("template")
     placed = stage(placed.join(finals, ["leaf", "template"]).select("line", "texts", named), "templates")
     total = lines.count()

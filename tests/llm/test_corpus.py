@@ -346,3 +346,24 @@ def test_toxicity_learns_pairs_of_words_that_tell_nothing_alone(spark):
     found = score_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     toxic = dict(labels)
     assert np.mean([r.predicted == toxic[r.doc_id] for r in found.where("held_out").collect()]) > 0.95
+
+
+def test_templates_of_a_hot_leaf_meet_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CHUNK_LINES", 40)
+    rng = np.random.default_rng(8)
+    seen = spark.sparkContext.accumulator(0)
+    grow = line_dedup.grow_templates
+
+    def bounded(lines, starts=()):
+        seen.add(len(lines) > 160)
+        return grow(lines, starts)
+
+    monkeypatch.setattr(line_dedup, "grow_templates", bounded)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    # one leaf: three numbers, then words that differ in nearly every row; and one notice with a word that varies
+    rows = [(n, "\n".join(f"{n} {k} 7 " + " ".join(word() for _ in range(7)) for k in range(10))) for n in range(100)]
+    rows += [(1000 + n, f"1 2 3 see our newest offers {word()} today here") for n in range(30)]
+    found = {r.doc_id: r for r in line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), 10).collect()}
+    assert all(found[n].n_dropped == 0 for n in range(100))
+    assert all(found[1000 + n].text == "" for n in range(30))
+    assert seen.value == 0
