@@ -45,9 +45,9 @@ def segments(text: str) -> list[tuple[int, str]]:
 
 
 def features(marker: int, body: str) -> tuple[int, int, int, int]:
-    """Marker, length class, whether it asks, whether it has several lines, code or a list."""
+    """Marker, length class, whether it asks anywhere, whether it has several lines, code or a list."""
     words = len(body.split())
-    asks = int("?" in body[-200:])
+    asks = int("?" in body)
     laid_out = int("\n" in body or "```" in body)
     return marker, min(LENGTHS - 1, words.bit_length()), asks, laid_out
 

@@ -367,3 +367,9 @@ def test_templates_of_a_hot_leaf_meet_in_bounded_groups(spark, monkeypatch):
     assert all(found[n].n_dropped == 0 for n in range(100))
     assert all(found[1000 + n].text == "" for n in range(30))
     assert seen.value == 0
+
+
+def test_a_question_before_long_code_is_asked():
+    code = "\n".join(f"value_{n} = {n}" for n in range(100))
+    assert chat_format.features(0, f"Why does this fail?\n{code}")[2] == 1
+    assert chat_format.features(0, code)[2] == 0
