@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from siltstone.llm.shared import ascii_lower, attach_groups
 from siltstone.sinks.staging import stage
 
+# Parts of the rows in which copies meet before they go to the owner of their bucket.
+PARTS = 16
 RESULT = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
 
 
@@ -51,26 +53,23 @@ def build_index(docs: DataFrame, capacity: int = 1024) -> tuple[DataFrame, DataF
 
     The index has one row per distinct text: bucket, key, chain, text_sha256, keep_id,
     group_size, keep_rows. Texts whose 64-bit keys collide are told apart by comparing
-    their bytes and chained. Its files hold key ranges: a bucket, which is a range, is
-    written by the one task that owns it.
+    their bytes and chained. A bucket, which is a range of keys, is grouped and written by the one
+    task that owns it.
     """
     rows = docs.select("doc_id", ascii_lower(F.coalesce("text", F.lit(""))).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
     entries = stage(rows.select("doc_id", "key", F.sha2("text", 256).alias("text_sha256")), "entries")
-    # Bytes are compared here: copies meet first within each task, so a text travels once
-    # per task, whatever number of copies there are.
-    texts = (
-        rows.groupBy("key", "text")
-        .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        .select("key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+    directory, depth = grow_directory(stage(rows.select("key").distinct(), "keys"), capacity)
+    # Copies meet first within a part of the rows, so that a hot text doesn't travel whole to its owner.
+    parts = rows.groupBy("key", "text", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part")).agg(
+        F.max("doc_id").alias("keep_id"), F.count("*").alias("n")
     )
-    texts = stage(texts, "texts")
-    directory, depth = grow_directory(texts.select("key").distinct(), capacity)
+    # The directory names the bucket of a key; its owner, one task, compares bytes, counts and chains.
+    routed = parts.withColumn("slot", _prefix(F.col("key"), depth)).join(directory, "slot").repartition("bucket")
+    texts = routed.groupBy("bucket", "key", "text").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     chain = Window.partitionBy("bucket", "key").orderBy("text_sha256")
     owned = (
-        texts.withColumn("slot", _prefix(F.col("key"), depth))
-        .join(directory, "slot")
-        .repartitionByRange("bucket")
+        texts.select("bucket", "key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
         .withColumn("chain", F.row_number().over(chain))
         .select("bucket", "key", "chain", "text_sha256", "keep_id", "group_size")
         .sortWithinPartitions("bucket", "key", "chain")

@@ -373,3 +373,13 @@ def test_a_question_before_long_code_is_asked():
     code = "\n".join(f"value_{n} = {n}" for n in range(100))
     assert chat_format.features(0, f"Why does this fail?\n{code}")[2] == 1
     assert chat_format.features(0, code)[2] == 0
+
+
+def test_texts_are_grouped_after_the_directory_is_asked(spark, odd, monkeypatch):
+    from siltstone.llm import exact_dedup
+
+    staged, stage = [], exact_dedup.stage
+    monkeypatch.setattr(exact_dedup, "stage", lambda frame, name: staged.append(name) or stage(frame, name))
+    index = exact_dedup.build_index(odd, 1)[0].collect()
+    assert "texts" not in staged and staged.index("directory") < staged.index("index")
+    assert len({r.bucket for r in index}) == len(index) and sum(r.group_size for r in index) == odd.count()
