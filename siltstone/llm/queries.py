@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from siltstone.llm.bestfit_packing import pack_best_fit
 from siltstone.llm.chat_format import recover_roles
 from siltstone.llm.embedding_dedup import embedding_components
 from siltstone.llm.exact_dedup import exact_groups
 from siltstone.llm.jaccard_join import jaccard_components
 from siltstone.llm.language_id import identify_languages
+from siltstone.llm.lexical_search import ranked_search
 from siltstone.llm.license_scan import inherit_licences, stated_licences
 from siltstone.llm.line_dedup import drop_recurring_lines
 from siltstone.llm.mixing import mix_sources
 from siltstone.llm.packing import pack_documents
 from siltstone.llm.shared import table
+from siltstone.llm.token_alignment import alignment_summary
 from siltstone.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +83,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_summary(table(spark, sf_dir, "documents"))
+
+
+def op12_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_packing": op2_packing,
@@ -91,6 +106,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_bestfit_packing": op12_bestfit_packing,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -128,4 +146,35 @@ ORACLE_SQL: dict[str, str] = {
         FROM sets LEFT JOIN reach ON sets.doc_id = reach.node
         GROUP BY sets.doc_id, s
     """,
+    "op13_lexical_search": r"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        asked AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark) AS i
+            GROUP BY ALL),
+        sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM sizes),
+        lengths AS (SELECT doc_id, 100 - 75 + (75 * n * docs) // length AS m FROM sizes, totals),
+        held AS (
+            SELECT doc_id, term, count(*) AS tf FROM terms
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM held, totals GROUP BY term, docs),
+        scores AS (
+            SELECT item_id, doc_id,
+                CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN lengths USING (doc_id)
+            GROUP BY item_id, doc_id),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+            FROM scores WHERE score > 0)
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+    """,
 }
