@@ -1,0 +1,387 @@
+"""Token alignment, best-fit packing and ranked search against brute force, on awkward rows and at size."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from siltstone.llm import bestfit_packing, lexical_search, token_alignment
+from siltstone.llm.bestfit_packing import WordEncoder, best_fit, pack_best_fit, pack_sizes
+from siltstone.llm.lexical_search import Ranking, Rows, impacts, ranked_search, search, term_weight, terms_of, tree
+from siltstone.llm.token_alignment import align_tokens, alignment_summary, linkable_pairs
+
+SF_DIR = "/root/testdata/sf0.001"
+# columns that operators make themselves must not clash with the caller's
+DOCS = "doc_id long, text string, lang string, n long, piece int, serial long, dims string, `group` int, task int"
+LONG = " ".join(f"word{n % 997} Ünd" for n in range(20_000))
+TEXTS = [
+    (1, "The same text, of some words here!"),
+    (2, "the SAME text of some words here"),
+    (2, "the SAME text of some words here"),
+    (3, None),
+    (4, ""),
+    (5, "   \n\t "),
+    (None, "no id but some words to count"),
+    (6, LONG),
+    (7, "a▁b of words"),
+    (8, "日本語 🎉 <|endoftext|> <s> \x00 <0x41> 12 34 !!"),
+    (9, "é ﬁ İstanbul ſ x​y"),
+    (10, "12 34 !!"),
+    (11, "some some some words"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(i, t, "en", 1, 1, 1, "x", 1, 1) for i, t in TEXTS], DOCS)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+# --- alignment -----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def sides():
+    """Ids and bytes of a text's tokens on both sides, straight from the libraries."""
+    byte_bpe = Tokenizer.from_file(token_alignment.default_tokenizer())
+    byte_bpe.encode_special_tokens = True
+    pieces = sentencepiece.SentencePieceProcessor(model_file=token_alignment.default_piece_model())
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    alphabet = {chr(b): b for b in shown}
+    alphabet |= {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
+
+    def first(text):
+        ids = byte_bpe.encode(" " + text, add_special_tokens=False).ids
+        return [(i, bytes(alphabet[c] for c in byte_bpe.id_to_token(i))) for i in ids]
+
+    def second(text):
+        out = []
+        for i in pieces.encode(text):
+            piece = pieces.id_to_piece(i)
+            raw = bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode()
+            out.append((i, raw))
+        return out
+
+    return first, second
+
+
+def _spans(tokens):
+    at, out = 0, []
+    for i, raw in tokens:
+        out.append((i, at, at + len(raw)))
+        at += len(raw)
+    return out
+
+
+def brute_alignment(sides, text):
+    """(a spans, b spans, overlapping places, links, groups as text)."""
+    a, b = (side(text) if text else [] for side in sides)
+    whole = b" " + (text or "").encode()
+    if not text or any(b"".join(raw for _, raw in side) != whole for side in (a, b)):
+        return [], [], [], [], ""
+    a, b = _spans(a), _spans(b)
+    over = [(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if max(x[1], y[1]) < min(x[2], y[2])]
+    links = [(x[0], y[0]) for x in a for y in b if x[2] == y[2]]
+    cuts = sorted({x[2] for x in a} & {y[2] for y in b})
+    groups, start = [], 0
+    for end in cuts:
+        inside = [",".join(str(i) for i, s, e in side if start < e <= end) for side in (a, b)]
+        groups.append("|".join(inside))
+        start = end
+    return a, b, over, links, ";".join(groups)
+
+
+def test_alignment_equals_brute_force(spark, odd, sides):
+    short = odd.where("doc_id IS NULL OR doc_id <> 6")
+    wanted = [(i, brute_alignment(sides, t)) for i, t in TEXTS if i != 6]
+    linked = Counter(pair for _, w in wanted for pair in w[3])
+    best = defaultdict(int)
+    for (_, b), n in linked.items():
+        best[b] = max(best[b], n)
+    rows = []
+    for i, (a, b, _, links, groups) in wanted:
+        hashed = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+        n_best = sum(linked[p] == best[p[1]] for p in links)
+        rows.append((i, len(a), len(b), groups.count("|") if "|" in groups else 0, len(links), n_best,
+                     sum(linked[p] for p in links), hashed))
+    found = alignment_summary(short).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    assert Counter(tuple(r) for r in found.collect()) == Counter(rows)
+
+
+def test_alignment_gives_all_overlapping_pairs_and_groups(odd, sides):
+    found = defaultdict(list)
+    for r in align_tokens(odd.where("doc_id IS NULL OR doc_id <> 6")).collect():
+        found[r.doc_id].append(r)
+    for i, text in TEXTS:
+        if i == 6:
+            continue
+        a, b, over, _, groups = brute_alignment(sides, text)
+        r = found[i].pop()
+        assert (r.a_ids, r.b_ids) == ([x[0] for x in a], [x[0] for x in b])
+        assert list(zip(r.overlap_a, r.overlap_b)) == sorted(over)
+        shown = [
+            "|".join(",".join(str(t) for t, g in zip(ids, at) if g == n) for ids, at in ((r.a_ids, r.a_groups), (r.b_ids, r.b_groups)))
+            for n in range(max(r.a_groups, default=-1) + 1)
+        ]
+        assert ";".join(shown) == groups
+    assert not any(found.values())
+
+
+def test_long_texts_and_batches_align_alike(odd, sides):
+    """Texts behind a long one, and a text of several hundred thousand bytes, whose groups cover all its bytes."""
+    r = align_tokens(odd.where("doc_id = 6")).first()
+    a, b = sides[0](LONG), sides[1](LONG)
+    assert r.a_ids == [i for i, _ in a] and r.b_ids == [i for i, _ in b]
+    sums = [defaultdict(int), defaultdict(int)]
+    for side, tokens, groups in zip(sums, (a, b), (r.a_groups, r.b_groups)):
+        for (_, raw), g in zip(tokens, groups):
+            side[g] += len(raw)
+    assert sums[0] == sums[1] and sum(sums[0].values()) == len(LONG.encode()) + 1
+
+
+def test_every_link_of_the_documents_is_a_linkable_pair():
+    first, second = [b"a", b"ba", b" x", b""], [b"a", b"cba", b"a", b"x"]
+    pairs = {(int(k) // 4, int(k) % 4) for k in linkable_pairs(first, second)}
+    assert pairs == {(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (2, 3)}
+
+
+def test_alignment_of_an_empty_table(empty):
+    assert alignment_summary(empty).collect() == [] and align_tokens(empty).collect() == []
+
+
+# --- best-fit packing --------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def word_tokenizer():
+    return Tokenizer.from_file(bestfit_packing.default_tokenizer())
+
+
+def test_word_ids_are_the_librarys(word_tokenizer, documents):
+    encoder = WordEncoder(word_tokenizer.to_str())
+    assert encoder._words is not None
+    letters = "abcXYZ 019'stremldéßÀ²½ªº\xa0\x85\x1c\n\t.,-!?<|>µ×÷ \x00\x7f\xadÿ日éİ"
+    chosen = random.Random(5)
+    texts = ["".join(chosen.choice(letters) for _ in range(chosen.randint(0, 40))) for _ in range(4000)]
+    texts += [t for _, t in TEXTS if t] + ["<|startoftext|> a", "we're it's don't 'S I'LL", "x" * 500]
+    texts += [r.text for r in documents.select("text").collect() if r.text]
+    for text in texts:
+        assert encoder.encode(text).tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def _check_windows(rows, texts, tokenizer, capacity=2048):
+    ids = {}
+    for doc_id, text in texts:
+        ids.setdefault(doc_id, []).append(tokenizer.encode(text or "", add_special_tokens=False).ids + [0])
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+        windows[r.sequence_id].append((r.offset, r.length))
+    for doc_id, copies in ids.items():
+        wanted = Counter()
+        for tokens in copies:
+            for n, start in enumerate(range(0, len(tokens), capacity)):
+                part = np.array(tokens[start : start + capacity], dtype="<u4")
+                wanted[n, start, len(part), zlib.crc32(part.tobytes())] += 1
+        assert Counter((r.piece, r.start, r.length, r.ids_crc32) for r in pieces.pop(doc_id)) == wanted
+    assert not pieces
+    for held in windows.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(windows)
+
+
+def test_packing_keeps_every_id_once(odd, word_tokenizer):
+    _check_windows(pack_best_fit(odd).collect(), TEXTS, word_tokenizer)
+
+
+def test_packing_is_full_however_many_files_and_groups(spark, documents, word_tokenizer):
+    texts = [(r.doc_id, r.text) for r in documents.collect()]
+    total = sum(len(word_tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in texts)
+    least = -(-total // 2048)
+    assert _check_windows(pack_best_fit(documents.repartition(40)).collect(), texts, word_tokenizer) <= least + 1
+    found = pack_best_fit(documents, group_pieces=50).collect()
+    groups = len({r.sequence_id >> 32 for r in found if r.sequence_id >= 0})
+    assert groups > 2 and _check_windows(found, texts, word_tokenizer) <= least + 2 * groups
+
+
+def test_packing_runs_alike(odd):
+    rows = [Counter(tuple(r) for r in pack_best_fit(odd).collect()) for _ in range(2)]
+    assert rows[0] == rows[1]
+
+
+def test_packing_an_empty_table(empty):
+    assert pack_best_fit(empty).collect() == []
+
+
+def _valid(sets, sizes, capacity):
+    assert sorted(n for s in sets for n in s) == list(range(len(sizes)))
+    assert all(sum(sizes[n] for n in s) <= capacity for s in sets)
+
+
+def test_search_empties_windows_that_best_fit_leaves():
+    chosen = random.Random(1)
+    for low, high in ((200, 700), (500, 1100)):
+        sizes = [chosen.randint(low, high) for _ in range(3000)]
+        sets, before = pack_sizes(sizes, 2048), best_fit(sizes, 2048)
+        _valid(sets, sizes, 2048)
+        assert len(sets) < len(before) - 5
+        squares = [sum(sum(sizes[n] for n in s) ** 2 for s in found) for found in (before, sets)]
+        assert squares[1] > squares[0]
+
+
+def test_search_reaches_the_optimum_of_small_cases():
+    """Against all partitions of few sizes."""
+
+    def optimum(sizes, capacity):
+        best = [len(sizes)]
+
+        def place(n, bins):
+            if len(bins) >= best[0]:
+                return
+            if n == len(sizes):
+                best[0] = len(bins)
+                return
+            for k in range(len(bins)):
+                if bins[k] + sizes[n] <= capacity:
+                    place(n + 1, bins[:k] + [bins[k] + sizes[n]] + bins[k + 1 :])
+            place(n + 1, bins + [sizes[n]])
+
+        place(0, [])
+        return best[0]
+
+    chosen = random.Random(2)
+    exact = 0
+    for _ in range(60):
+        sizes = [chosen.randint(1, 9) for _ in range(8)]
+        sets = pack_sizes(sizes, 10)
+        _valid(sets, sizes, 10)
+        least = optimum(sorted(sizes, reverse=True), 10)
+        assert len(sets) <= least + 1
+        exact += len(sets) == least
+    assert exact >= 57
+
+
+@pytest.mark.parametrize("sizes", [[], [5], [10, 10], [3] * 50, [1] * 21, [9, 1, 9, 1, 2]])
+def test_plain_cases(sizes):
+    sets = pack_sizes(sizes, 10)
+    _valid(sets, sizes, 10)
+    assert len(sets) == max(-(-sum(sizes) // 10), -(-len(sizes) // 3) if sizes == [3] * 50 else 0)
+
+
+# --- ranked search ---------------------------------------------------------------------
+
+
+def brute_ranking(docs, items, k=10):
+    bags = [(i, Counter(terms_of(t))) for i, t in docs]
+    bags = [(i, b) for i, b in bags if b]
+    length = sum(b.total() for _, b in bags)
+    held = Counter(t for _, b in bags for t in b)
+    rows = []
+    for item, text in {(i, t or "") for i, t in items}:
+        scored = []
+        for doc, bag in bags:
+            m = 100 - 75 + (75 * bag.total() * len(bags)) // length
+            score = sum(
+                term_weight(len(bags), held[t]) * ((10**9 * bag[t]) // (1000 * bag[t] + 8 * m)) for t in terms_of(text) if t in bag
+            )
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        scored.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+        rows += [(item, n + 1, doc, -score) for n, (score, _, doc) in enumerate(scored[:k])]
+    return Counter(rows)
+
+
+ITEMS = [
+    (1, "some words of the TEXT"),
+    (1, "some words of the TEXT"),
+    (2, "word5 word5 word996 ünd"),
+    (3, None),
+    (4, ""),
+    (5, "!!! ---"),
+    (6, "nothingelsehasthis"),
+    (None, "some id"),
+    (7, "12 日本語"),
+    (7, "34 here"),
+]
+
+
+@pytest.mark.parametrize("k, block_bytes", [(10, 1 << 20), (2, 1 << 20), (3, 60)])
+def test_search_equals_brute_force_on_odd_rows(spark, odd, k, block_bytes):
+    items = spark.createDataFrame([(i, t, "x", 1) for i, t in ITEMS], "item_id long, text string, rank string, score int")
+    found = ranked_search(odd.repartition(3), items, k, block_bytes)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert Counter(tuple(r) for r in found.collect()) == brute_ranking(TEXTS, ITEMS, k)
+
+
+def test_search_of_empty_tables(spark, odd, empty):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert ranked_search(empty, items).collect() == []
+    assert ranked_search(odd, items.limit(0)).collect() == []
+    assert ranked_search(odd.where("doc_id IN (3, 4, 5)"), items).collect() == []
+
+
+def _random_rows(chosen, count, dims):
+    held = [sorted(chosen.sample(range(dims), chosen.randint(0, 12))) for _ in range(count)]
+    values = [[chosen.choice([1, 1, 2, 7, 40]) for _ in h] for h in held]
+    return Rows(
+        np.append(0, np.cumsum([len(h) for h in held])),
+        np.array([d for h in held for d in h], np.int64),
+        np.array([v for h in values for v in h], np.int64),
+    )
+
+
+def test_dual_tree_search_prunes_nothing_that_counts():
+    """Trees of several levels, many equal scores and ids, against all inner products."""
+    chosen = random.Random(4)
+    items, docs = _random_rows(chosen, 150, 60), _random_rows(chosen, 3000, 60)
+    ids = np.array([chosen.randint(0, 2000) for _ in range(3000)])
+    missing = np.array([chosen.random() < 0.05 for _ in range(3000)])
+    weights = np.arange(60)
+    found = Ranking(np.ones(150, np.int64), 10)
+    for part in (np.arange(1700), np.arange(1700, 3000)):
+        search(tree(items, lexical_search.FAN_OUT), docs.take(part), ids[part], missing[part], weights, found)
+    dense = [np.zeros((len(r), 60), np.int64) for r in (items, docs)]
+    for rows, out in zip((items, docs), dense):
+        for n in range(len(rows)):
+            out[n, rows.dims[rows.row(n)]] = rows.values[rows.row(n)]
+    scores = dense[0] @ dense[1].T
+    for item in range(150):
+        order = [d for d in np.lexsort((ids, missing, -scores[item])) if scores[item, d] > 0][:10]
+        kept = found.kept[item]
+        assert kept[0].tolist() == scores[item, order].tolist()
+        assert [(m, i) for m, i in zip(kept[1], kept[2])] == [(missing[d], ids[d]) for d in order]
+
+
+def test_node_maxima_bound_their_rows():
+    chosen = random.Random(6)
+    rows = _random_rows(chosen, 100, 30)
+    levels = tree(rows, 4)
+    assert len(levels[-1]) == 1 and [len(level) for level in levels[:3]] == [100, 25, 4]
+    other = np.array([chosen.randint(0, 9) for _ in range(30)])
+    below, above = levels[0].products(other), levels[1].products(other)
+    assert all(below[n] <= above[n // 4] for n in range(100))
+
+
+def test_impacts_are_exact_integers():
+    found = impacts(np.array([1, 3]), np.array([10, 5_000_000]), 10**10, 10**13)
+    m = [25 + 75 * 10 * 10**10 // 10**13, 25 + 75 * 5_000_000 * 10**10 // 10**13]
+    assert found.tolist() == [10**9 // (1000 + 8 * m[0]), 3 * 10**9 // (3000 + 8 * m[1])]
