@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.packing import Encoder, _byte_ranks, default_tokenizer
+from siltstone.llm.shingles import slices
 from siltstone.sinks.staging import stage
 
 # Texts are aligned in batches of about so many characters; a longer one is a batch of its own.
@@ -37,7 +38,7 @@ class ByteSide(Encoder):
         super().__init__(definition)
         self._tokenizer.encode_special_tokens = True
         ranks = _byte_ranks(json.loads(definition))
-        if ranks is None:
+        if ranks is None or any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("not a plain byte-level BPE")
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for word, n in ranks.items():
@@ -47,7 +48,8 @@ class ByteSide(Encoder):
         # without special tokens there is nothing in "<|" for the library alone
         return super()._ordinary(text.replace("<|", "<"))
 
-    def encode_all(self, texts: Sequence[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: Sequence[str]) -> list[np.ndarray | None]:
+        """Nothing is normalized and every byte is a token, so the bytes are always those of space and text."""
         return [self.encode(" " + t).astype(np.int64) for t in texts]
 
 
@@ -66,8 +68,13 @@ class PieceSide:
             return bytes([int(piece[3:5], 16)])
         return piece.replace(_SPACE_MARK, " ").encode()
 
-    def encode_all(self, texts: Sequence[str]) -> list[np.ndarray]:
-        return [np.array(ids, dtype=np.int64) for ids in self._model.encode(list(texts), num_threads=1)]
+    def encode_all(self, texts: Sequence[str]) -> list[np.ndarray | None]:
+        """None where the pieces' bytes are not those of space and text."""
+        found = []
+        for text, ids in zip(texts, self._model.encode(list(texts), num_threads=1)):
+            same = b"".join(map(self.bytes_of.__getitem__, ids)) == b" " + text.encode()
+            found.append(np.array(ids, dtype=np.int64) if same else None)
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -171,6 +178,7 @@ def align_ids(
     )
 
 
+@lru_cache(maxsize=2)
 def _digits(vocabulary: int) -> np.ndarray:
     """Bytes of every id in decimal with each of the four things that may follow it, zeros behind."""
     width = len(str(vocabulary)) + 1
@@ -235,11 +243,7 @@ class _Aligner:
         a, b = (side.encode_all(texts) for side in self.sides)
         none = np.zeros(0, np.int64)
         for n, text in enumerate(texts):
-            whole = b" " + text.encode()
-            same = text and all(
-                b"".join(map(side.bytes_of.__getitem__, ids[n].tolist())) == whole for side, ids in zip(self.sides, (a, b))
-            )
-            if not same:
+            if not text or a[n] is None or b[n] is None:
                 a[n], b[n] = none, none
         return align_ids(a, b, *self.lengths)
 
@@ -248,6 +252,11 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.astype(np.int32), pa.int32()))
 
 
+def _numbers(column: pa.Array) -> np.ndarray:
+    """What all rows of a binary column hold, as four-byte numbers in a row."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<i4")
+
+
 def _sources(docs: DataFrame, tokenizer: str | None, piece_model: str | None):
     """(doc_id, text) rows, and both vocabularies as broadcasts: files of fixed size."""
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as file:
@@ -306,7 +315,7 @@ def alignment_summary(docs: DataFrame, tokenizer: str | None = None, piece_model
     n_best, count_sum (longs) and groups_sha256. The count of a pair of ids is the number of links of the
     corpus that hold it; n_best are the links whose count is the highest of their b id, ties included.
 
-    Documents are encoded once and written with the numbers of their links' pairs. Counts are made
+    Documents are encoded once and written with the numbers of their links' pairs, four bytes each. Counts are made
     in every task and then summed. The vocabularies bound the pairs (``linkable_pairs``: some
     hundred thousand), so all counts go to the driver and back as one array.
     """
@@ -331,7 +340,7 @@ def alignment_summary(docs: DataFrame, tokenizer: str | None = None, piece_model
                     pa.array(ids, pa.int64()),
                     *(pa.array(c, pa.int64()) for c in counts),
                     pa.array(group_hashes(x, digits), pa.string()),
-                    _lists(linked, links),
+                    pa.array([linked[i:j].astype("<i4").tobytes() for i, j in zip(links[:-1], links[1:])], pa.binary()),
                 ],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"],
             )
@@ -339,15 +348,15 @@ def alignment_summary(docs: DataFrame, tokenizer: str | None = None, piece_model
     described = stage(
         rows.mapInArrow(
             describe,
-            "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<int>",
+            "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary",
         ),
         "alignments",
     )
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
-        for part in parts:
-            total += np.bincount(part.column(0).flatten().to_numpy(), minlength=size)
+        for part in slices(parts, 1024):
+            total += np.bincount(_numbers(part.column(0)), minlength=size)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["pair", "links"])
 
@@ -361,9 +370,8 @@ def alignment_summary(docs: DataFrame, tokenizer: str | None = None, piece_model
 
     def weigh(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, best = shared.value
-        for part in parts:
-            listed = part.column("pairs")
-            at = listed.flatten().to_numpy()
+        for part in slices(parts, 1024):
+            at = _numbers(part.column("pairs"))
             ends = np.cumsum(part.column("n_links").to_numpy())
             sums = [np.append(0, np.cumsum(values[at], dtype=np.int64)) for values in (best, counts)]
             n_best, count_sum = (s[ends] - s[np.append(0, ends[:-1])] for s in sums)
