@@ -22,8 +22,9 @@ from siltstone.sinks.staging import stage
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 WINDOWS = f"{PIECES}, sequence_id long, offset long"
 
-# Words whose ids a task remembers.
-KNOWN_WORDS = 500_000
+# Words whose ids a task remembers, and characters of texts that it encodes at a time (or one longer text).
+KNOWN_WORDS = 450_000
+BATCH_CHARS = 1 << 20
 
 # How vocabularies of this kind prepare and split text. Fixed values.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -33,7 +34,7 @@ _NORMALIZERS = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
 _LETTERS = "a-zªµº\xdf-\xf6\xf8-\xff"
 _NUMBERS = "0-9²³¹¼½¾"
 _LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
-_UNUSUAL = re.compile("[\x1c-\x1f]|<\\|")
+_UNUSUAL = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 def default_tokenizer() -> str:
@@ -58,46 +59,65 @@ def _splits_words(kind: dict) -> bool:
     )
 
 
-class _Words(dict):
-    """Word to ids, asked of the library once per word."""
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self._tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        ids = self._tokenizer.encode(word, add_special_tokens=False).ids
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
-
 class WordEncoder:
     """Token ids of texts as the ``tokenizers`` library gives them.
 
-    BPE never crosses a word, so Latin-1 text is split into words here and the library is asked for each
-    different word once (same ids, tested). Any other text, and any that may hold a special token, goes to the library whole.
+    BPE never crosses a word, so Latin-1 text is split into words here and the library is asked once for
+    each word not met before, for many in one call (same ids, tested): the token that ends a word tells
+    them apart. Any other text, and any that may hold a special token, goes to the library whole.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(definition)
-        self._words = _Words(self._tokenizer) if _splits_words(json.loads(definition)) else None
-
-    def encode(self, text: str) -> np.ndarray:
-        if self._words is not None and not _UNUSUAL.search(text):
-            try:
-                text.encode("latin-1")
-            except UnicodeEncodeError:
-                pass
-            else:
-                words = _LATIN.findall(text.lower())
-                return np.fromiter(chain.from_iterable(map(self._words.__getitem__, words)), dtype="<u4")
+        kind = json.loads(definition)
+        self._words: dict[str, bytes] | None = {} if _splits_words(kind) else None
+        self._before: dict[str, bytes] = {}
+        if self._words is not None:
+            vocabulary = kind["model"]["vocab"]
+            self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._ends[[n for token, n in vocabulary.items() if token.endswith(kind["model"]["end_of_word_suffix"])]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    def _learn(self, words: set[str]) -> None:
+        """Words not met for long are forgotten: those that were not asked for while KNOWN_WORDS others were."""
+        if len(self._words) > KNOWN_WORDS:
+            self._words, self._before = {}, self._words
+        known = self._words
+        new = words.difference(known)
+        again = new.intersection(self._before)
+        known.update((w, self._before[w]) for w in again)
+        new = list(new - again)
+        ids = self._ids(" ".join(new))
+        cuts = np.flatnonzero(self._ends[ids]) + 1
+        if len(cuts) == len(new):
+            raw = ids.tobytes()
+            starts = [0, *(4 * cuts).tolist()]
+            known.update((w, raw[i:j]) for w, i, j in zip(new, starts, starts[1:]))
+        else:
+            known.update((w, self._ids(w).tobytes()) for w in new)
+
+    def _words_of(self, text: str) -> list[str] | None:
+        if self._words is None or any(x in text for x in _UNUSUAL):
+            return None
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return _LATIN.findall(text.lower())
+
+    def encode_all(self, texts: Sequence[str]) -> list[np.ndarray]:
+        split = [self._words_of(text) for text in texts]
+        if self._words is not None:
+            self._learn(set(chain.from_iterable(w for w in split if w)))
+        return [
+            self._ids(text) if words is None else np.frombuffer(b"".join(map(self._words.__getitem__, words)), "<u4")
+            for text, words in zip(texts, split)
+        ]
+
 
 @lru_cache(maxsize=2)
 def _encoder(definition: str) -> WordEncoder:
@@ -235,6 +255,18 @@ def pack_sizes(sizes: Sequence[int], capacity: int) -> list[list[int]]:
     return _Search(values, best_fit([int(s) for s in values], capacity), capacity).run()
 
 
+def _encoded(encoder: WordEncoder, texts: Sequence[str]) -> Iterator[np.ndarray]:
+    few: list[str] = []
+    held = 0
+    for text in texts:
+        if few and held + len(text) > BATCH_CHARS:
+            yield from encoder.encode_all(few)
+            few, held = [], 0
+        few.append(text)
+        held += len(text)
+    yield from encoder.encode_all(few)
+
+
 def cut_documents(
     docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 0
 ) -> DataFrame:
@@ -256,8 +288,8 @@ def cut_documents(
         for part in slices(parts):
             out: list[tuple] = []
             serial = max(serial, part.column(2)[0].as_py() << 40 if part.num_rows else 0)
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                ids = np.append(encoder.encode(text), np.uint32(end_id)).astype("<u4")
+            for doc_id, tokens in zip(part.column(0).to_pylist(), _encoded(encoder, part.column(1).to_pylist())):
+                ids = np.append(tokens, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     held = ids[start : start + capacity]
                     out.append((doc_id, piece, start, len(held), zlib.crc32(held.tobytes()), serial))

@@ -180,8 +180,10 @@ def test_word_ids_are_the_librarys(word_tokenizer, documents):
     texts = ["".join(chosen.choice(letters) for _ in range(chosen.randint(0, 40))) for _ in range(4000)]
     texts += [t for _, t in TEXTS if t] + ["<|startoftext|> a", "we're it's don't 'S I'LL", "x" * 500]
     texts += [r.text for r in documents.select("text").collect() if r.text]
-    for text in texts:
-        assert encoder.encode(text).tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids
+    for _ in range(2):  # with all words new, and known
+        for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+            assert ids.tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids
+    assert [ids.tolist() for ids in encoder.encode_all([])] == []
 
 
 def _check_windows(rows, texts, tokenizer, capacity=2048):
