@@ -24,6 +24,13 @@ def as_exact(amount: Column, data_type: T.DataType, places: int | None = None) -
     return amount.cast(EXACT if places is None else T.DecimalType(_WORD_DIGITS, places))
 
 
+def exact_or_not(amount: Column) -> tuple[Column, Column]:
+    """A double as a decimal, and whether that decimal holds it: finite, below 10^17, right to 10^-9 of itself."""
+    value = amount.cast("double")
+    exact = F.when(F.abs(value) < 1e17, value.cast(EXACT))
+    return exact, F.coalesce(F.abs(exact.cast("double") - value) <= F.abs(value) * 1e-9, F.lit(False))
+
+
 def sum_of_doubles(amount: Column, scale: int = 2) -> Column:
     """Sum of doubles, rounded half up: exact where decimals hold all values, else the plain sum.
 
@@ -32,8 +39,7 @@ def sum_of_doubles(amount: Column, scale: int = 2) -> Column:
     the same partial aggregation.
     """
     value = amount.cast("double")
-    exact = F.when(F.abs(value) < 1e17, value.cast(EXACT))
-    held = F.coalesce(F.abs(exact.cast("double") - value) <= F.abs(value) * 1e-9, F.lit(False))
+    exact, held = exact_or_not(amount)
     plain = F.max(value.isNotNull() & ~held)
     total = F.round(F.sum(F.when(held, exact)), scale).cast("double")
     return F.when(plain, F.round(F.sum(value), scale)).otherwise(total)

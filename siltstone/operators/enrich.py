@@ -118,3 +118,19 @@ def split_orphans(
     """
     classified = classify(fact, [replace(link, attributes=()) for link in links])
     return accepted(classified), rejected(classified, fact.columns)
+
+
+def replayable(rejects: DataFrame, links: Iterable[DimensionLink], stamp: str) -> DataFrame:
+    """Quarantined facts that may be known by now: the key they were rejected for has arrived.
+
+    Only dimension rows stamped after the oldest rejected fact are looked at, and only the facts rejected for that dimension.
+    A fact with several unknown keys comes up when the first of them arrives, and is classified anew.
+    """
+    oldest = rejects.agg(F.min(stamp)).scalar()
+    found = None
+    for link in links:
+        arrived = link.dim.where(F.col(stamp) > oldest).select(link.key).distinct()
+        waiting = rejects.where(F.col(REJECT_REASON) == link.reject_reason)
+        known = join_dimension(waiting, arrived, {link.fact_key: link.key}, "left_semi")
+        found = known if found is None else found.unionByName(known)
+    return found

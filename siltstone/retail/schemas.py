@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 from siltstone.functions.headers import sanitize_name
+from siltstone.operators.running import STATE_TYPES
 from siltstone.sinks.ddl import TableSpec
 
 
@@ -131,6 +132,31 @@ gold_profit_summary = TableSpec(
     view="vw_gold_profit_summary",
 )
 
+# What the summary is kept up to date by (``operators.running``).
+gold_profit_state = TableSpec(
+    "gold_profit_state",
+    T.StructType([*(f for f in gold_profit_summary.schema if f.name in PROFIT_KEYS), *_schema(STATE_TYPES)]),
+)
+
+# Records of the source files that do not fit their schema.
+ingest_rejects = TableSpec(
+    "ingest_rejects",
+    T.StructType([*_schema({"feed": _TEXT, "raw": _TEXT, "reason": _TEXT}), *_AUDIT, *_schema({BATCH_COLUMN: _TEXT})]),
+    partition_by=[BATCH_COLUMN],
+)
+
+# One row per finished batch, written last; batches without one are not read.
+ingest_ledger = TableSpec(
+    "ingest_ledger",
+    T.StructType(
+        [
+            *_schema({BATCH_COLUMN: _TEXT}),
+            *_schema({c: T.LongType() for c in ("customers", "products", "orders", "rejects")}),
+            *_AUDIT,
+        ]
+    ),
+)
+
 ALL_TABLES = [
     bronze_customer,
     bronze_product,
@@ -140,4 +166,7 @@ ALL_TABLES = [
     silver_order,
     quarantine_orphan_orders,
     gold_profit_summary,
+    gold_profit_state,
+    ingest_rejects,
+    ingest_ledger,
 ]

@@ -9,14 +9,23 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _is_local(master: str) -> bool:
+    """Driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Both are shared by the driver and all executors; a machine's own temporary folder is not.
+    On a cluster a ``file:`` warehouse lies on the driver's machine alone, as Spark's default does; without a
+    checkpoint folder that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not _is_local(spark.conf.get("spark.master", None) or "") and (warehouse or "file:").startswith("file:"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"{warehouse.rstrip('/')}/_staged"
     return folder.rstrip("/")
 
 

@@ -306,8 +306,11 @@ class _Session:
 
 
 def test_shared_folder_is_never_local_on_a_cluster():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(_Session(spark_master="spark://host:7077"))
-    alone = _Session(spark_master="local[2]")
-    assert shared_folder(alone) == shared_folder(alone)
+    for warehouse in ("file:/home/driver/warehouse", None):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(_Session(spark_master="spark://host:7077", spark_sql_warehouse_dir=warehouse))
+    alone = _Session(spark_master="local[2]", spark_sql_warehouse_dir="file:/home/warehouse/")
+    assert shared_folder(alone) == "file:/home/warehouse/_staged"
+    named = _Session(spark_master="yarn", spark_sql_warehouse_dir="s3a://b/warehouse")
+    assert shared_folder(named) == "s3a://b/warehouse/_staged"
     assert shared_folder(_Session(spark_checkpoint_dir="s3a://b/x/")) == "s3a://b/x"
