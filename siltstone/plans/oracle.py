@@ -152,7 +152,69 @@ parsed AS (
          CAST(TRY_STRPTIME(written, '%d/%m/%Y') AS DATE) AS ship_date
   FROM written)"""
 
+_AS_STORED = (
+    "CAST(order_id AS VARCHAR) AS order_id, line_no AS row_id, CAST(product_id AS VARCHAR) AS product_id, "
+    "CAST(supplier_id AS VARCHAR) AS ship_mode, quantity, price, order_date, ship_date"
+)
+
+_ORDERED = "CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS BIGINT) AS position"
+
+
+def _with_position(totals: str, order: str) -> str:
+    return f"{_SILVER} SELECT *, {_ORDERED.format(order=order)} FROM ({totals}) AS totals"
+
+
+_PART_NAME = "p_type || ', \"' || p_name || '\"'"
+_PART_PRICE = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR)"
+_RAW_PART = f"""CASE WHEN p_partkey % 10 = 7 THEN '' ELSE CAST(p_partkey AS VARCHAR) END
+  || ',"' || p_type || ', ""' || p_name || '"\"",' || p_size
+  || CASE p_partkey % 10 WHEN 3 THEN '' WHEN 0 THEN ',n/a' ELSE ',' || {_PART_PRICE} END
+  || CASE WHEN p_partkey % 10 = 5 THEN ',more' ELSE '' END"""
+
+_PRIORITY = """'{"' || o_orderpriority || '"}\\ ['"""
+_RAW_ORDER = """'{"' || CASE WHEN o_orderkey % 11 = 6 THEN 'number' ELSE 'order_id' END || '":' || o_orderkey
+  || ',"customer_id":' || CASE WHEN o_orderkey % 11 = 0 THEN '"none","was":' ELSE '' END || o_custkey
+  || ',"status":"' || o_orderstatus || '","priority":"{\\"' || o_orderpriority || '\\"}\\\\ ["'
+  || CASE WHEN o_orderkey % 11 = 4 THEN '' ELSE '}' END"""
+
 ORACLE_SQL: dict[str, str] = {
+    "running_gold": _GOLD,
+    "quarantine_release": f"""{_CLASSIFIED}
+SELECT {_AS_STORED}, CASE WHEN reject_reason IS NULL THEN customer_name END AS customer_name,
+       CASE WHEN reject_reason IS NULL THEN category END AS category, reject_reason
+FROM classified LEFT JOIN customers USING (customer_id) LEFT JOIN products USING (product_id)""",
+    "ingest_run": f"""WITH {_LINES}
+SELECT {_AS_STORED}, CAST(customer_id AS VARCHAR) AS customer_id, discount, CAST(profit AS DOUBLE) AS profit
+FROM order_lines""",
+    "csv_rejects": f"""
+SELECT CASE WHEN good THEN p_partkey END AS part_id, CASE WHEN good THEN {_PART_NAME} END AS name,
+       CASE WHEN good THEN p_size END AS size, CASE WHEN good THEN CAST({_PART_PRICE} AS DOUBLE) END AS price,
+       CASE WHEN NOT good THEN {_RAW_PART} END AS raw,
+       CASE p_partkey % 10 WHEN 0 THEN 'bad price' WHEN 3 THEN 'short line' WHEN 5 THEN 'long line'
+         WHEN 7 THEN 'missing part_id' END AS reason
+FROM (SELECT *, p_partkey % 10 NOT IN (0, 3, 5, 7) AS good FROM part) AS parts""",
+    "json_rejects": f"""
+SELECT CASE WHEN good THEN o_orderkey END AS order_id, CASE WHEN good THEN o_custkey END AS customer_id,
+       CASE WHEN good THEN o_orderstatus END AS status, CASE WHEN good THEN {_PRIORITY} END AS priority,
+       CASE WHEN NOT good THEN {_RAW_ORDER} END AS raw,
+       CASE o_orderkey % 11 WHEN 0 THEN 'bad customer_id' WHEN 4 THEN 'no object'
+         WHEN 6 THEN 'missing order_id' END AS reason
+FROM (SELECT *, o_orderkey % 11 NOT IN (0, 4, 6) AS good FROM orders) AS sent""",
+    "json_array_scan": f"""
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status, {_PRIORITY} AS priority,
+       CAST(NULL AS VARCHAR) AS raw, CAST(NULL AS VARCHAR) AS reason
+FROM orders""",
+    "ordered_profit_by_year": _with_position(f"SELECT {_YEAR}, {_TOTAL} FROM silver GROUP BY ALL", "year"),
+    "ordered_profit_by_year_category": _with_position(
+        f"SELECT {_YEAR}, category, {_TOTAL} FROM silver GROUP BY ALL", "year, category"
+    ),
+    "ordered_profit_by_customer": _with_position(
+        f"SELECT customer_id, customer_name, {_TOTAL} FROM silver GROUP BY ALL", "total_profit DESC, customer_id"
+    ),
+    "ordered_profit_by_customer_year": _with_position(
+        f"SELECT customer_id, customer_name, {_YEAR}, {_TOTAL} FROM silver GROUP BY ALL",
+        "customer_id, customer_name, year, total_profit DESC",
+    ),
     "gold_profit_summary": _GOLD,
     "incremental_gold": _GOLD,
     "view_gold_profit_summary": _GOLD,

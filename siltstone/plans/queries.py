@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.audit import add_audit_columns
 from siltstone.functions.dates import date_parse_failures, parse_dates
@@ -20,15 +21,19 @@ from siltstone.operators.joins import known_rows, orphans
 from siltstone.operators.keys import dedupe, duplicate_keys, latest_per_key
 from siltstone.operators.merge import merge_rows
 from siltstone.operators.rollup import changed_groups, incremental_rollup, rollup_measure
+from siltstone.operators.ordering import with_positions
 from siltstone.plans import model_views as views
+from siltstone.plans.batch_runs import ingest_run, quarantine_release, running_gold
 from siltstone.plans.retail_run import retail_run
 from siltstone.plans.workbook_samples import as_workbooks
 from siltstone.retail import reports
 from siltstone.retail.schemas import PROFIT_KEYS
-from siltstone.sinks.ddl import view_columns
+from siltstone.sinks.ddl import TableSpec, create_table, create_view
 from siltstone.sinks.staging import new_folder, stage
 from siltstone.sinks.tables import upsert_table, write_parquet, write_table
 from siltstone.sources.files import read_delimited, read_json
+from siltstone.sources.json_arrays import scan_json_array
+from siltstone.sources.rejects import Scan, scan_delimited, scan_json
 from siltstone.sources.workbooks import decode_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,10 +79,30 @@ def silver_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(views.silver_lines(spark, sf_dir))
 
 
+def _ordered(name: str) -> Query:
+    """A report with each row's place in its order."""
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        report = reports.REPORTS[name](views.silver_lines(spark, sf_dir))
+        return with_positions(report, reports.ORDERS[name])
+
+    return read
+
+
 def _view(rows: Query) -> Query:
+    """A stored table with audit columns, read through its view."""
+
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stored = add_audit_columns(rows(spark, sf_dir), "INCREMENTAL")
-        return _plain(stored.select(*view_columns(stored.schema)))
+        stored = add_audit_columns(_plain(rows(spark, sf_dir)), "INCREMENTAL")
+        spec = TableSpec("curated", stored.schema, view="vw_curated")
+        database = f"views_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE SCHEMA {database} LOCATION '{new_folder(spark, 'database')}'")
+        try:
+            create_table(spark, database, spec)
+            write_table(stored, f"{database}.{spec.name}", "append")
+            return stage(spark.table(create_view(spark, database, spec)), "view")
+        finally:
+            spark.sql(f"DROP SCHEMA {database} CASCADE")
 
     return read
 
@@ -355,6 +380,87 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json(spark, folder, customers.schema, multi_line=False)
 
 
+def _good_and_rejects(scan: Scan) -> DataFrame:
+    """All records of a source: rows as the schema reads them, rejects as raw text with their reason."""
+    written = scan.of(stage(scan.judged, "judged"))
+    return written.good.unionByName(written.rejects, allowMissingColumns=True)
+
+
+PART_SCHEMA = T.StructType(
+    [
+        T.StructField("part_id", T.LongType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("size", T.IntegerType()),
+        T.StructField("price", T.DoubleType()),
+    ]
+)
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as delimited text with doubled quotes, in which every tenth price, id or number of fields is wrong."""
+    kind = F.col("p_partkey") % 10
+    name = F.concat(F.lit('"'), "p_type", F.lit(', ""'), "p_name", F.lit('"""'))
+    price = F.when(kind == 0, F.lit("n/a")).otherwise(F.col("p_retailprice").cast("decimal(12,2)").cast("string"))
+    fields = [
+        F.when(kind == 7, F.lit("")).otherwise(F.col("p_partkey").cast("string")),
+        name,
+        F.col("p_size").cast("string"),
+        F.when(kind != 3, price),
+        F.when(kind == 5, F.lit("more")),
+    ]
+    folder = new_folder(spark, "csv")
+    # a field that is NULL is left out, which makes the line short
+    views.table(spark, sf_dir, "part").select(F.concat_ws(",", *fields)).write.text(folder)
+    return _good_and_rejects(scan_delimited(spark, folder, PART_SCHEMA, escape='"', required=["part_id"]))
+
+
+ORDER_SCHEMA = T.StructType(
+    [
+        T.StructField("order_id", T.LongType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("priority", T.StringType()),
+    ]
+)
+
+
+def _order_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as objects, with braces, quotes and backslashes in their texts."""
+    quoted = F.concat(F.lit('{"'), "o_orderpriority", F.lit('"}\\ ['))
+    fields = F.struct(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderstatus").alias("status"),
+        quoted.alias("priority"),
+    )
+    return views.table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(fields).alias("object"))
+
+
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by line, in which some ids are texts or absent and some lines end early."""
+    kind = F.col("o_orderkey") % 11
+    text = (
+        F.when(kind == 0, F.regexp_replace("object", '"customer_id":', '"customer_id":"none","was":'))
+        .when(kind == 4, F.expr("left(object, length(object) - 1)"))
+        .when(kind == 6, F.regexp_replace("object", '"order_id":', '"number":'))
+        .otherwise(F.col("object"))
+    )
+    folder = new_folder(spark, "json")
+    _order_objects(spark, sf_dir).select(text).write.text(folder)
+    return _good_and_rejects(scan_json(spark, folder, ORDER_SCHEMA, required=["order_id"]))
+
+
+def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders from files that each hold one array of several thousand objects."""
+    objects = _order_objects(spark, sf_dir).withColumn("file", F.expr("o_orderkey div 5000"))
+    arrays = objects.groupBy("file").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("object"), ",\n"), F.lit("]")).alias("value")
+    )
+    folder = new_folder(spark, "json")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return _good_and_rejects(scan_json_array(spark, folder, ORDER_SCHEMA, required=["order_id"]))
+
+
 def xlsx_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = views.table(spark, sf_dir, "customer")
     return decode_workbooks(as_workbooks(customers), customers.schema)
@@ -407,4 +513,14 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": json_roundtrip,
     "xlsx_scan": xlsx_scan,
     "retail_run": retail_run,
+    "running_gold": running_gold,
+    "quarantine_release": quarantine_release,
+    "ingest_run": ingest_run,
+    "csv_rejects": csv_rejects,
+    "json_rejects": json_rejects,
+    "json_array_scan": json_array_scan,
+    "ordered_profit_by_year": _ordered("profit_by_year"),
+    "ordered_profit_by_year_category": _ordered("profit_by_year_category"),
+    "ordered_profit_by_customer": _ordered("profit_by_customer"),
+    "ordered_profit_by_customer_year": _ordered("profit_by_customer_year"),
 }
