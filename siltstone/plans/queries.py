@@ -84,7 +84,7 @@ def _ordered(name: str) -> Query:
 
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
         report = reports.REPORTS[name](views.silver_lines(spark, sf_dir))
-        return with_positions(report, reports.ORDERS[name])
+        return with_positions(report, reports.report_order(name))
 
     return read
 

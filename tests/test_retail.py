@@ -307,3 +307,108 @@ def test_ingest_rules_stop_the_job(shop):
     with pytest.raises(ValueError, match="Sold at a loss"):
         shop.run(1)
     assert shop.table("bronze_order").count() == 0
+
+
+# --- ledger, rejects, replay, running summary -----------------------------------------------
+
+
+@pytest.mark.parametrize("failing", ["bronze_customer", "bronze_product", "bronze_order", "ingest_ledger"])
+def test_a_batch_that_fails_on_the_way_is_not_visible(shop, monkeypatch, failing):
+    shop.run(1)
+    before = {r.row_id for r in jobs.newest_batch(shop.spark, shop.config, schemas.bronze_order).collect()}
+    shop.deliver([("C9", "Late")], [("P9", "Games")], [_order(7, "O9", "C9", "P9", 1.0)])
+    write = jobs.write_table
+
+    def fail(df, table, *rest, **options):
+        if table.endswith(failing):
+            raise OSError("disk full")
+        return write(df, table, *rest, **options)
+
+    monkeypatch.setattr(jobs, "write_table", fail)
+    late = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    with pytest.raises(OSError):
+        jobs.ingest(shop.spark, shop.config, late)
+    monkeypatch.undo()
+    newest = jobs.newest_batch(shop.spark, shop.config, schemas.bronze_order)
+    assert {r.row_id for r in newest.collect()} == before
+    for raw in (schemas.bronze_customer, schemas.bronze_product):
+        assert "C9" not in [r[0] for r in jobs.newest_batch(shop.spark, shop.config, raw).collect()]
+    jobs.remove_unfinished(shop.spark, shop.config)
+    assert shop.table("bronze_order").count() == 6 and shop.table("bronze_customer").count() == 3
+    jobs.ingest(shop.spark, shop.config, late + timedelta(days=1))
+    newest = jobs.newest_batch(shop.spark, shop.config, schemas.bronze_order)
+    assert [r.row_id for r in newest.collect()] == [7]
+
+
+def test_rejects_are_kept_apart_and_limited(shop):
+    bad = _order(8, "O8", "C1", "P1", 1.0)
+    bad["Quantity"] = "many"
+    shop.deliver([("C1", "Ann"), ("C2", "Bob")], [("P1", "Toys"), ("P2", "Books")], [*FIRST, bad])
+    with open(shop.config.product_file, "a") as file:
+        file.write("\nP7,Toys\nP8,Toys,Sub,Name,NY,dear\nP9,\"Toys \"\"x\"\"\",Sub,Name,NY,2.5")
+    shop.config = replace(shop.config, keep_rejects=True, csv_escape='"')
+    counts = shop.run(1)
+    assert (counts["ingest_rejects"], counts["bronze_product"], counts["bronze_order"]) == (3, 3, 6)
+    found = sorted((r.feed, r.reason) for r in shop.table("ingest_rejects").collect())
+    assert found == [("Order", "bad Quantity"), ("Product", "bad Price per product"), ("Product", "short line")]
+    assert shop.table("bronze_product").where("product_id = 'P9'").first().category == 'Toys "x"'
+    ledger = shop.table("ingest_ledger").first()
+    assert (ledger.customers, ledger.products, ledger.orders, ledger.rejects) == (2, 3, 6, 3)
+    shop.config = replace(shop.config, reject_limits={"short line": 1, "bad Quantity": 1})
+    with pytest.raises(ValueError, match="1 records of 'Product' rejected: bad Price per product"):
+        shop.run(2)
+    assert shop.table("ingest_ledger").count() == 1 and shop.table("bronze_order").count() == 6
+
+
+def _lines(table):
+    return sorted(r.row_id for r in table.select("row_id").collect())
+
+
+def test_quarantined_lines_come_back_when_their_dimension_arrives(shop):
+    shop.config = replace(shop.config, replay_rejects=True)
+    shop.run(1)
+    orders, quarantine = shop.table("silver_order"), shop.table("quarantine_orphan_orders")
+    assert (_lines(orders), _lines(quarantine)) == ([1, 2, 3], [4, 5, 6])
+    # C9 arrives, P9 does not: line 4 is now rejected for its product; line 1 is delivered anew, without a customer
+    shop.deliver([("C1", "Ann"), ("C9", "Late")], [("P1", "Toys"), ("P2", "Books")], [_order(1, "O1", None, "P1", 1.0), _order(7, "O7", "C9", "P1", 1.0)])
+    shop.run(2)
+    reasons = {r.row_id: r.reject_reason for r in shop.table("quarantine_orphan_orders").collect()}
+    assert reasons == {1: "unknown customer_id", 4: "unknown product_id", 5: "unknown product_id", 6: "unknown customer_id"}
+    assert _lines(shop.table("silver_order")) == [2, 3, 7]
+    # P9 arrives, and line 6 is delivered with its customer
+    shop.deliver([("C1", "Ann")], [("P9", "Games")], [_order(6, "O5", "C1", "P1", 32.0)])
+    counts = shop.run(3)
+    assert (_lines(shop.table("silver_order")), _lines(shop.table("quarantine_orphan_orders"))) == ([2, 3, 4, 5, 6, 7], [1])
+    assert (counts["silver_order"], counts["quarantine_orphan_orders"]) == (6, 1)
+    assert shop.gold()[(2016, "Games", "Late Customer Name")] == 8.0
+
+
+@pytest.mark.parametrize("partition_by", [{}, {"silver_order": ["order_date"]}])
+def test_running_summary_equals_recompute(shop, partition_by):
+    shop.config = replace(shop.config, replay_rejects=True, running_summary=True, partition_by=partition_by)
+    shop.run(1)
+    batches = [
+        ([("C9", "Late")], [("P2", "Books")], [_order(2, "O1", "C1", "P2", 7.5, "1/1/2018"), _order(3, "O2", None, "P1", 4.0)]),
+        ([("C1", "Ann")], [("P9", "Games")], [_order(8, "O8", "C9", "P2", 0.1), _order(9, "O8", "C9", "P2", None)]),
+    ]
+    for day, batch in enumerate(batches, 2):
+        shop.deliver(*batch)
+        shop.run(day)
+        running = shop.gold()
+        jobs.rebuild_summary(shop.spark, shop.config)
+        assert shop.gold() == running
+    assert (2017, "Toys", "Bob Customer Name") not in running and (2018, "Books", "Ann Customer Name") in running
+
+
+def test_a_summary_that_missed_a_batch_is_made_anew(shop):
+    shop.config = replace(shop.config, running_summary=True)
+    shop.run(1)
+    shop.deliver([("C1", "Ann")], [("P1", "Toys")], [_order(1, "O1", "C1", "P1", 100.0)])
+    shop.config = replace(shop.config, running_summary=False)
+    at = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    jobs.ingest(shop.spark, shop.config, at)
+    jobs.curate_orders(shop.spark, shop.config, at)
+    shop.config = replace(shop.config, running_summary=True)
+    shop.deliver([("C1", "Ann")], [("P1", "Toys")], [_order(7, "O7", "C1", "P1", 1000.0)])
+    shop.run(3)
+    assert shop.gold()[(2016, "Toys", "Ann Customer Name")] == 1100.0
