@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import attach_groups, bitmap_of, filter_bit, in_bitmap
+from siltstone.llm.shared import FILTER_BITS, attach_groups, bitmap_of, filter_bit, in_bitmap
 from siltstone.llm.shingles import slices
 from siltstone.sinks.staging import stage
 
@@ -21,6 +21,8 @@ LEADING_TOKENS = 3
 SIMILAR = 0.7
 CHUNK_LINES = 2000
 IDLE_ROUNDS = 2
+# Share of a template's tokens that must not be variable: numbers alone are no evidence of a template.
+LEAST_CONSTANT = 0.25
 
 _VARIABLE = re.compile(r"\d")
 
@@ -184,7 +186,8 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     sizes = stage(counted.join(leaves, "leaf"), "sizes")
 
     # tokens are read again, of the lines asked for only
-    asked = docs.sparkSession.sparkContext.broadcast(bitmap_of(sizes, "line"))
+    low_bits = F.col("line").bitwiseAND(F.lit(FILTER_BITS - 1))
+    asked = docs.sparkSession.sparkContext.broadcast(bitmap_of(sizes, "line", low_bits))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -195,16 +198,14 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> DataFrame:
                     if words:
                         joined = "\x1f".join(words)
                         found[_hash(joined)] = joined
-            columns = [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())]
+            hashes = np.fromiter(found, np.int64, len(found))
+            hit = np.flatnonzero(in_bitmap(asked.value, hashes & (FILTER_BITS - 1)))
+            joined = list(found.values())
+            columns = [pa.array(hashes[hit]), pa.array([joined[k] for k in hit], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["line", "tokens"])
 
-    def probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = in_bitmap(asked.value, batch.column(2).to_numpy())
-            yield batch.filter(pa.array(hit)).select(["line", "tokens"])
-
-    every = texts.select("text").mapInArrow(tokens, "line long, tokens string").withColumn("bit", filter_bit("line"))
-    words = every.mapInArrow(probable, "line long, tokens string").groupBy("line").agg(F.min("tokens").alias("tokens"))
+    every = texts.select("text").mapInArrow(tokens, "line long, tokens string")
+    words = every.groupBy("line").agg(F.min("tokens").alias("tokens"))
     known = sizes.join(words, "line")
     known = known.withColumn("chunk", F.pmod(F.xxhash64("line"), "chunks")).select("leaf", "chunk", "line", "tokens", "texts")
 
@@ -219,6 +220,9 @@ def recurring_lines(docs: DataFrame, min_docs: int) -> DataFrame:
 
     kinds = stage(placed.groupBy("leaf", "template").agg(F.count("*").alias("lines")), "kinds")
     finals = merge_templates(kinds)
+    fields = F.split("final", "\x1f")
+    constant = F.size(F.filter(fields, lambda t: t != VARIABLE))
+    finals = finals.where(constant >= F.size(fields) * LEAST_CONSTANT)
     named = F.xxhash64("leaf", "final").alias("template")
     placed = stage(placed.join(finals, ["leaf", "template"]).select("line", "texts", named), "templates")
     total = lines.count()
@@ -236,7 +240,9 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 
     Lines are parsed as log lines are: a tree of fixed depth leads, by the number of
     tokens and the LEADING_TOKENS first of them, to a leaf, and in a leaf lines that agree in
-    SIMILAR of their tokens share a template; tokens with digits are variable from the start. A line goes
+    SIMILAR of their tokens share a template; tokens with digits are variable from the start. Of a template's tokens LEAST_CONSTANT
+    must not be variable. Of a leaf with more than CHUNK_LINES different lines, which templates meet depends on how its lines are
+    dealt, so such a leaf is approximate. A line goes
     if its template is in ``min_docs`` different texts or more; equal texts count once, so copies
     of a document alone drop nothing.
 
@@ -244,36 +250,49 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     rows are treated alike. An empty table gives no rows; other columns stay, save those named
     n_lines or n_dropped, which are replaced.
     """
-    dropped = recurring_lines(docs, min_docs).groupBy("copy").agg(F.collect_set("line").alias("__drop"))
-    rows = docs.drop("n_lines", "n_dropped").withColumn("__copy", F.xxhash64("text"))
-    sizes = rows.groupBy("__copy").agg(F.count("*").alias("__rows"))
-    groups = stage(sizes.join(dropped.withColumnRenamed("copy", "__copy"), "__copy"), "dropped")
+    dropped = recurring_lines(docs, min_docs).groupBy("copy").agg(F.collect_set("line").alias("drop"))
+    # the caller's columns travel as one, so that no name of theirs meets one of these
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    rows = docs.select(
+        F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`").alias(f"_{n}") for n, c in enumerate(others))).alias("row"),
+        "text",
+        F.xxhash64("text").alias("copy"),
+    )
+    sizes = rows.groupBy("copy").agg(F.count("*").alias("rows"))
+    groups = stage(sizes.join(dropped, "copy"), "dropped")
 
     # only texts that lose a line are joined; by merging, so that the plan is the same at every size
-    losing = docs.sparkSession.sparkContext.broadcast(bitmap_of(groups, "__copy"))
+    losing = docs.sparkSession.sparkContext.broadcast(bitmap_of(groups, "copy"))
 
     def probable_loss(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for bits in parts:
             yield pd.Series(in_bitmap(losing.value, bits.to_numpy()))
 
-    rows = rows.withColumn("__loses", F.pandas_udf(probable_loss, "boolean")(filter_bit("__copy")))
-    found = attach_groups(rows.where("__loses"), groups, ["__copy"], "__rows", docs.count(), "merge")
-    found = found.unionByName(rows.where("NOT __loses"), allowMissingColumns=True)
-
-    def clean(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, drops in parts:
-            out = []
-            for text, drop in zip(texts, drops):
-                if text is None:
-                    out.append((None, 0, 0))
-                    continue
+    rows = rows.withColumn("loses", F.pandas_udf(probable_loss, "boolean")(filter_bit("copy")))
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    whole = rows.where("NOT loses").select(
+        "row", "text", F.coalesce(lines, F.lit(0)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")
+    )
+    found = attach_groups(stage(rows.where("loses").drop("loses"), "losing"), groups, ["copy"], "rows", docs.count(), "merge")
+    found = found.select("row", "text", "drop")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts, before, gone = [], [], []
+            for text, drop in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 every = text.split("\n")
-                asked = set() if drop is None else set(drop)
+                asked = set(drop or ())
                 kept = [x for x in every if not asked or _hash("\x1f".join(line_tokens(x))) not in asked]
-                out.append(("\n".join(kept), len(every), len(every) - len(kept)))
-            yield pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
-
-    cleaned = F.pandas_udf(clean, "text string, n_lines long, n_dropped long")
-    found = found.withColumn("__clean", cleaned("text", "__drop"))
-    names = [F.col("__clean.text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return found.select(*names, "__clean.n_lines", "__clean.n_dropped")
+                texts.append("\n".join(kept))
+                before.append(len(every))
+                gone.append(len(every) - len(kept))
+            columns = [pa.array(texts, pa.string()), pa.array(before, pa.int64()), pa.array(gone, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["row", "text", "n_lines", "n_dropped"])
+
+    cleaned = found.mapInArrow(clean, whole.schema)
+    names = [
+        "text" if c == "text" else F.col(f"row._{others.index(c)}").alias(c)
+        for c in docs.columns
+        if c not in ("n_lines", "n_dropped")
+    ]
+    return cleaned.unionByName(whole).select(*names, "n_lines", "n_dropped")

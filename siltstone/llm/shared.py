@@ -53,13 +53,13 @@ def filter_bit(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
 
 
-def bitmap_of(rows: DataFrame, column: str) -> np.ndarray:
+def bitmap_of(rows: DataFrame, column: str, bit: Column | None = None) -> np.ndarray:
     """A filter of FILTER_BITS bits, whatever the input, that knows all values of a column.
 
-    It lets other values through the more, the fuller it is; what passes is joined as usual.
+    ``bit`` is a value's bit, by default ``filter_bit``. The filter lets other values through the more, the fuller it is; what passes is joined as usual.
     """
     # Spark numbers the bits of its maps from 1
-    bits = rows.select((filter_bit(column) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    bits = rows.select(((filter_bit(column) if bit is None else bit) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
     maps = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
     whole = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
     for row in maps.toLocalIterator():
