@@ -285,7 +285,9 @@ def inherit_licences(stated: DataFrame) -> DataFrame:
     A licence file has such a
     name, or is a statement for half its words; it licenses its directory: files of such names
     come first, then the highest cosine, then the licence's name. A file without a licence of its own inherits from the nearest directory
-    above it that is licensed: directories, not files, are joined to their ancestors. A null path has no directory.
+    above it that is licensed, up to the root, whose files have no slash in their path or one in front: directories, not
+    files, are joined to their ancestors. A null path has no directory. Other columns stay, but for ``statement_words`` and
+    ``text_words``.
     """
     mostly = F.col("statement_words") * 2 >= F.col("text_words")
     named = F.coalesce(F.col("path").rlike(_LICENCE_FILE), F.lit(False))
@@ -293,7 +295,8 @@ def inherit_licences(stated: DataFrame) -> DataFrame:
         stated.drop("licence_file", "licence", "inherited_from")
         .withColumn("licence_file", F.col("own_licence").isNotNull() & (named | mostly))
         .withColumn("__named", named)
-        .withColumn("__dir", F.regexp_replace("path", "/[^/]*$", ""))
+        # the root's own files have no directory in their path
+        .withColumn("__dir", F.when(F.contains("path", F.lit("/")), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), ""))
         .drop(*WORDS)
     )
     best = F.min(F.struct(~F.col("__named"), -F.round("cosine", 6), F.col("own_licence"))).alias("best")
@@ -302,6 +305,7 @@ def inherit_licences(stated: DataFrame) -> DataFrame:
     directories = rows.where("__dir IS NOT NULL").groupBy("__dir").agg(F.count("*").alias("__files"))
     names = F.split("__dir", "/")
     levels = F.transform(F.sequence(F.lit(1), F.size(names)), lambda n: F.array_join(F.slice(names, 1, n), "/"))
+    levels = F.array_distinct(F.concat(F.array(F.lit("")), levels))
     above = directories.select("__dir", "__files", F.explode(levels).alias("above"))
     nearest = above.join(licensed, "above").groupBy("__dir", "__files").agg(
         F.max_by(F.struct("licence", "above"), F.length("above")).alias("from")
@@ -309,7 +313,7 @@ def inherit_licences(stated: DataFrame) -> DataFrame:
     nearest = stage(nearest.select("__dir", "__files", F.col("from.licence").alias("__licence"), F.col("from.above").alias("__above")), "nearest")
     found = attach_groups(rows, nearest, ["__dir"], "__files", rows.count())
     inherits = F.col("own_licence").isNull()
-    kept = [c for c in rows.columns if not c.startswith("__")]
+    kept = [c for c in rows.columns if c not in ("__named", "__dir")]
     return found.select(
         *kept,
         F.coalesce("own_licence", "__licence").alias("licence"),
