@@ -21,22 +21,23 @@ _CHUNK_CHARS = 400_000
 _BATCH_ENTRIES = 1_000_000
 
 
-def ngram_buckets(text: str, bits: int) -> np.ndarray:
-    """Hashed 1-, 2- and 3-grams of the lower-cased text, white space as one blank, blank at both ends."""
-    padded = " " + " ".join(text.lower().split()) + " "
-    codes = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    one = codes * np.uint64(0x9E3779B97F4A7C15)
-    two = (one[:-1] ^ (one[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + one[1:]
-    three = (two[:-1] ^ (two[:-1] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + one[2:]
-    mixed = np.concatenate([one, two * np.uint64(3), three * np.uint64(5)])
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int32)
-
+def ngram_buckets(text: str, bits: int) -> Iterator[np.ndarray]:
+    """Hashed 1-, 2- and 3-grams of the whole lower-cased text, white space as one blank, blank at both ends.
 
-def _pieces(text: str) -> Iterator[str]:
-    """Whole text in bounded pieces; only n-grams across a cut are lost."""
-    for at in range(0, len(text), _CHUNK_CHARS):
-        yield text[at : at + _CHUNK_CHARS]
+    A long text comes in pieces of _CHUNK_CHARS; each begins with the two characters before it, so no n-gram is lost or
+    counted twice.
+    """
+    padded = " " + " ".join(text.lower().split()) + " "
+    for at in range(0, len(padded), _CHUNK_CHARS):
+        seen = min(at, 2)
+        piece = padded[at - seen : at + _CHUNK_CHARS]
+        codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+        one = codes * np.uint64(0x9E3779B97F4A7C15)
+        two = (one[:-1] ^ (one[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + one[1:]
+        three = (two[:-1] ^ (two[:-1] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + one[2:]
+        mixed = np.concatenate([one[seen:], two[max(0, seen - 1) :] * np.uint64(3), three * np.uint64(5)])
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        yield (mixed >> np.uint64(64 - bits)).astype(np.int32)
 
 
 @dataclass(frozen=True)
@@ -69,9 +70,9 @@ class NaiveBayes:
 
         held = 0
         for row, text in enumerate(texts):
-            for piece in _pieces(text) if readable[row] else ():
+            for buckets in ngram_buckets(text, self.bits) if readable[row] else ():
                 rows.append(row)
-                entries.append(ngram_buckets(piece, self.bits))
+                entries.append(buckets)
                 held += len(entries[-1])
                 if held > _BATCH_ENTRIES:
                     add()
@@ -110,8 +111,8 @@ def train_language_model(
             for text, lang in zip(batch["text"], batch["lang"]):
                 if lang not in held:
                     held[lang] = np.zeros(1 << bits, np.int64)
-                for piece in _pieces(text):
-                    held[lang] += np.bincount(ngram_buckets(piece, bits), minlength=1 << bits)
+                for buckets in ngram_buckets(text, bits):
+                    held[lang] += np.bincount(buckets, minlength=1 << bits)
         for lang, counts in held.items():
             seen = np.flatnonzero(counts)
             yield pd.DataFrame({"lang": lang, "bucket": seen, "n": counts[seen]})
