@@ -1,58 +1 @@
-"""The retail orders model: schemas, tables, jobs and reports.
-
-The names below are the whole everyday interface; ``write_delta`` and
-``upsert_delta`` write tables of any format, Delta or plain Parquet.
-"""
-
-from siltstone.functions.audit import add_audit_columns
-from siltstone.functions.headers import sanitize_column_names
-from siltstone.operators.quality import (
-    check_duplicates,
-    check_nulls,
-    validate_business_rules,
-    validate_dataframe_not_empty,
-    validate_referential_integrity,
-    validate_required_columns,
-)
-from siltstone.retail.schemas import customer_schema, order_schema, product_schema
-from siltstone.retail.transforms import (
-    create_profit_aggregation,
-    enrich_customer,
-    enrich_orders,
-    enrich_product,
-    log_record_count,
-    read_customers,
-    read_orders,
-    read_products,
-)
-from siltstone.sinks.tables import upsert_table, write_parquet, write_table
-
-write_delta = write_table
-upsert_delta = upsert_table
-
-__all__ = [
-    "add_audit_columns",
-    "check_duplicates",
-    "check_nulls",
-    "create_profit_aggregation",
-    "customer_schema",
-    "enrich_customer",
-    "enrich_orders",
-    "enrich_product",
-    "log_record_count",
-    "order_schema",
-    "product_schema",
-    "read_customers",
-    "read_orders",
-    "read_products",
-    "sanitize_column_names",
-    "upsert_delta",
-    "upsert_table",
-    "validate_business_rules",
-    "validate_dataframe_not_empty",
-    "validate_referential_integrity",
-    "validate_required_columns",
-    "write_delta",
-    "write_parquet",
-    "write_table",
-]
+"""The retail orders model: schemas, tables, curation functions, jobs and reports."""
