@@ -23,7 +23,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 WINDOWS = f"{PIECES}, sequence_id long, offset long"
 
 # Words whose ids a task remembers, and characters of texts that it encodes at a time (or one longer text).
-KNOWN_WORDS = 450_000
+KNOWN_WORDS = 550_000
 BATCH_CHARS = 1 << 20
 
 # How vocabularies of this kind prepare and split text. Fixed values.
