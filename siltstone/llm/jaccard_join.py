@@ -257,6 +257,25 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     return _similar(likely, kept_sets(docs, _ends(likely), words, 64), 64, percent)
 
 
+def repeated_ids(found: DataFrame) -> DataFrame:
+    """(doc_id, low): ids of several rows, and the smallest class representative among these."""
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("low"), F.count("*").alias("rows"))
+    return ids.where("rows > 1").select("doc_id", "low")
+
+
+def same_id_links(found: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Links between the classes that the rows of one id belong to."""
+    classes = found.select("doc_id", "rep").distinct().join(repeated, "doc_id")
+    return classes.where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
+
+
+def _once(rows: DataFrame, repeated: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of repeated ids that agree in ``columns`` once; all other rows stay where they are."""
+    ids = repeated.select("doc_id")
+    several = rows.join(ids, "doc_id", "left_semi").dropDuplicates(columns)
+    return rows.join(ids, "doc_id", "left_anti").unionByName(several)
+
+
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
@@ -276,7 +295,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     components found so far are left for the end. Rounds end when they no longer help.
 
     Null and empty texts, or texts without words, have size 0 and link with nothing. Rows with
-    the same doc_id count as linked. A null doc_id has the component of the copies it
+    the same doc_id are one document: linked, whatever their texts, and linked to all that one of them is like. A null doc_id has the component of the copies it
     has, and null if it has none. An empty table gives no rows; other columns are ignored.
     """
     common = common_shingles(docs, words)
@@ -288,23 +307,26 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     classes = stage(classes, "classes")
     total = rows.count()
     found = attach_groups(rows.select("doc_id", *sig), classes.where("rows > 1"), sig, "rows", total)
-    found = found.withColumn("rep", F.coalesce("rep", "doc_id")).select("doc_id", F.col("n").alias("n_shingles"), "rep")
-    found = stage(found, "members")
+    found = stage(found.select("doc_id", *sig, F.coalesce("rep", "doc_id").alias("rep")), "members")
+    repeated = stage(repeated_ids(found), "repeated")
 
     # the row that stands for its class; a class of one stands for itself
-    not_first = found.where("rep <> doc_id").select("doc_id")
-    reps = rows.where("n > 0 AND doc_id IS NOT NULL").join(not_first, "doc_id", "left_anti")
+    not_first = found.where("rep <> doc_id").select("doc_id", *sig)
+    reps = rows.where("n > 0 AND doc_id IS NOT NULL").join(not_first, ["doc_id", *sig], "left_anti")
+    if not repeated.isEmpty():
+        reps = _once(reps, repeated, ["doc_id", *sig])
+        docs = _once(docs.select(F.col("doc_id").cast("long"), "text"), repeated, ["doc_id", "text"])
     reps = reps.withColumnRenamed("doc_id", "rep")
     entries = prefix_entries(reps)
     # a document with fewer common elements has no partner
-    able = entries.groupBy("rep").agg(F.count("*").alias("lists"), F.max("n").alias("n"))
+    able = entries.groupBy("rep").agg(F.count("*").alias("lists"), F.min("n").alias("n"))
     able = stage(able.where(F.col("lists") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))), "able")
     entries = stage(entries.join(able.select("rep"), "rep", "left_semi"), "lists")
     scanned = entries.agg(F.sum("length"), F.count("*")).first()
     boundary = size_boundary(percent, (scanned[0] or 0) / max(1, scanned[1]))
 
     links = _small_links(reps, percent, boundary)
-    links = stage(links, "links")
+    links = stage(links.unionByName(same_id_links(found, repeated)), "links")
     sets, helps = None, True
     for number in range(LEADER_ROUNDS + 1):
         groups = components(links)
@@ -342,14 +364,14 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
         & _sizes_fit("one.n", "two.n", percent)
     )
     pairs = pairs.groupBy(F.col("one.rep").alias("a"), F.col("two.rep").alias("b")).agg(
-        F.count("*").alias("lists"), F.max("one.n").alias("n_a"), F.max("two.n").alias("n_b")
+        F.count("*").alias("lists"), F.min("one.n").alias("n_a"), F.min("two.n").alias("n_b")
     )
     least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     pairs = stage(pairs.where(F.col("lists") >= F.least(F.lit(SHARED), least)).select("a", "b"), "pairs")
     links = links.unionByName(verified(docs, pairs, words, percent))
     groups = components(links).withColumnRenamed("node", "rep")
     return found.join(groups, "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
     )
 
 
