@@ -134,8 +134,9 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.93) -> DataFra
     than two CHUNK_ROWS rows is dealt by chunk pairs, so a task compares 2 CHUNK_ROWS rows at most.
 
     Vectors that are null, empty, zero or hold nulls or values that are not finite, and those
-    without a label, link with nothing. Vectors of different lengths don't link. A null vec_id links with its
-    copies only. Repeated rows are vectors of their own. An empty table gives no rows;
+    without a label, link with nothing. Vectors of different lengths don't link. Every row is a vector
+    of its own, whatever its vec_id: rows that share one are linked by their cosine only. A null vec_id links like any
+    other; a component without any id has a null one. Classes are told apart by 64-bit hashes. An empty table gives no rows;
     other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label").cast("string"))
@@ -145,25 +146,23 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.93) -> DataFra
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     rows = rows.withColumn("sig", F.sha2(F.concat_ws("|", "label", F.col("embedding").cast("string")), 256))
     rows = stage(rows, "vectors")
-    classes = rows.where("usable").groupBy("sig").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = stage(classes, "classes")
-    total = rows.count()
-    members = attach_groups(rows.select("vec_id", "sig", "usable"), classes.where("copies > 1"), ["sig"], "copies", total)
+    # equal signatures have equal vectors, so any of them will do
+    classes = rows.where("usable").groupBy("sig").agg(
+        F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.any_value("label").alias("label"), F.any_value("embedding").alias("embedding")
+    )
+    distinct = stage(classes.withColumn("node", F.xxhash64("sig")), "classes")
+    sizes = distinct.select("sig", "node", "rep", "copies")
+    members = attach_groups(rows.select("vec_id", "sig", "usable"), sizes.where("copies > 1"), ["sig"], "copies", rows.count())
     members = stage(
         members.select(
             "vec_id",
+            # what links with nothing has a name of its own, so that such rows don't meet in one task
+            F.when(F.col("usable"), F.xxhash64("sig")).otherwise(F.xxhash64("vec_id", F.lit("alone"))).alias("node"),
             F.coalesce(F.when(F.col("usable"), F.col("rep")), F.col("vec_id")).alias("rep"),
             F.coalesce(F.when(F.col("usable"), F.col("copies")), F.lit(1)).alias("copies"),
         ),
         "members",
     )
-    distinct = rows.where("usable AND vec_id IS NOT NULL").join(
-        members.where("vec_id <> rep").select("vec_id"), "vec_id", "left_anti"
-    )
-    weights = classes.where("copies > 1").select("sig", "copies")
-    distinct = distinct.join(weights, "sig", "left").select(
-        "vec_id", "label", "embedding", F.coalesce("copies", F.lit(1)).alias("copies")
-    )
     largest = distinct.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     spec = calibrated(largest, threshold)
 
@@ -176,25 +175,25 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.93) -> DataFra
                 codes, places = spec.of(unit)
                 yield pd.DataFrame(
                     {
-                        "vec_id": group["vec_id"], "label": group["label"], "copies": group["copies"], "dim": dim,
+                        "node": group["node"], "label": group["label"], "copies": group["copies"], "dim": dim,
                         "codes": list(codes), "places": [p.tobytes() for p in places],
                         "vector": [v.tobytes() for v in scaled],
                     }
                 )
 
-    schema = "vec_id long, label string, copies long, dim int, codes array<long>, places binary, vector binary"
-    projected = stage(distinct.mapInPandas(project, schema), "projected")
+    schema = "node long, label string, copies long, dim int, codes array<long>, places binary, vector binary"
+    projected = stage(distinct.select("node", "label", "copies", "embedding").mapInPandas(project, schema), "projected")
     cell = ["label", "dim", "table", "code"]
     coded = projected.select("*", F.posexplode("codes").alias("table", "code"))
     large = coded.groupBy(*cell).agg(F.count("*").alias("rows")).where(F.col("rows") > 2 * CHUNK_ROWS)
     large = stage(large.select(*cell, F.ceil(F.col("rows") / CHUNK_ROWS).alias("chunks")), "large")
     dealt = coded.join(large, cell, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("vec_id"), "chunks"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "chunks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("vec_id", kind="stable", ignore_index=True)
+        group = group.sort_values("node", kind="stable", ignore_index=True)
         codes = np.stack(group["codes"].to_list())
         places = np.stack([np.frombuffer(p) for p in group["places"]])
         raw = np.stack([np.frombuffer(v) for v in group["vector"]])
@@ -205,20 +204,22 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.93) -> DataFra
         np.add.at(links, left, copies[right])
         np.add.at(links, right, copies[left])
         hit = np.flatnonzero(links)
-        ids = group["vec_id"].to_numpy()
+        ids = group["node"].to_numpy()
         roots = _roots(len(group), left, right)
-        return pd.DataFrame({"vec_id": ids[hit], "links": links[hit], "root": ids[roots[hit]]})
+        return pd.DataFrame({"node": ids[hit], "links": links[hit], "root": ids[roots[hit]]})
 
-    met = dealt.groupBy(*cell, "low", "high").applyInPandas(compare, "vec_id long, links long, root long")
+    met = dealt.groupBy(*cell, "low", "high").applyInPandas(compare, "node long, links long, root long")
     met = stage(met, "met")
-    counts = met.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("links").alias("links"))
-    groups = components(met.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    groups = groups.withColumnRenamed("node", "rep")
-    found = members.join(counts, "rep", "left").join(groups, "rep", "left")
-    component = F.coalesce("component", "rep")
+    counts = met.groupBy("node").agg(F.sum("links").alias("links"))
+    groups = components(met.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    # the smallest id of a component's members; its own name is a hash
+    named = groups.join(sizes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least"))
+    groups = groups.join(named, "component").select("node", "least")
+    found = members.join(counts, "node", "left").join(groups, "node", "left")
+    component = F.coalesce("least", "rep")
     return found.select(
         "vec_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+        F.col("vec_id").eqNullSafe(component).alias("kept"),
     )
