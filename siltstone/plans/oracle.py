@@ -316,6 +316,10 @@ SELECT {_LINE} FROM (
 WHERE rn = 1""",
     "append_roundtrip": f"WITH {_EVENTS} SELECT * FROM raw_events",
     "overwrite_roundtrip": f"WITH {_EVENTS} SELECT * FROM raw_events WHERE event_type <> 'error'",
+    "widened_roundtrip": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+  CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS l_extendedprice, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS l_shipdate,
+  CASE WHEN YEAR(l_shipdate) <= 1999 THEN NULL ELSE l_tax END AS l_tax
+FROM lineitem""",
     "parquet_roundtrip": "SELECT * FROM lineitem",
     "csv_roundtrip": f"WITH {_ALL_PRODUCTS} SELECT * FROM all_products",
     "json_roundtrip": f"WITH {_ALL_CUSTOMERS} SELECT * FROM all_customers",

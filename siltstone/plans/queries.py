@@ -31,6 +31,7 @@ from siltstone.retail.schemas import PROFIT_KEYS
 from siltstone.sinks.ddl import TableSpec, create_table, create_view
 from siltstone.sinks.staging import new_folder, stage
 from siltstone.sinks.tables import upsert_table, write_parquet, write_table
+from siltstone.sources.catalog import read_table
 from siltstone.sources.files import read_delimited, read_json
 from siltstone.sources.json_arrays import scan_json_array
 from siltstone.sources.rejects import Scan, scan_delimited, scan_json
@@ -330,6 +331,23 @@ def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.table(table).select(*EVENT_COLUMNS)
 
 
+def widened_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of three batches of lines whose columns come in ever other types, the last in the narrow ones again."""
+    lines = views.table(spark, sf_dir, "lineitem").select(
+        *("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "l_tax")
+    )
+    year = F.year("l_shipdate")
+    narrow = {"l_orderkey": "int", "l_linenumber": "smallint", "l_quantity": "int", "l_extendedprice": "decimal(12,2)", "l_shipdate": "date"}
+    wide = {"l_extendedprice": "decimal(14,4)"}
+    typed = lambda types: lines.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+    first = typed(narrow).where(year <= 1999).drop("l_tax")
+    with _scratch_table(spark, first) as table:
+        write_table(first, table, "append")
+        write_table(typed(wide).where(year == 2000), table, "append", evolve=True)
+        write_table(typed(narrow).where((year > 2000) | year.isNull()), table, "append", evolve=True)
+        return stage(_plain(read_table(spark, table)), "widened")
+
+
 def overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by part of its own contents."""
     events = views.events(spark, sf_dir)
@@ -506,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "upsert_order_grain": upsert_order_grain,
     "append_roundtrip": append_roundtrip,
     "overwrite_roundtrip": overwrite_roundtrip,
+    "widened_roundtrip": widened_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
     "upsert_table_roundtrip": upsert_table_roundtrip,
     "upsert_partitions_roundtrip": upsert_partitions_roundtrip,
