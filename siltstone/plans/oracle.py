@@ -302,6 +302,7 @@ WHERE written IS NOT NULL AND ship_date IS NULL""",
     "upsert_update_insert": _UPSERT,
     "upsert_table_roundtrip": _UPSERT,
     "upsert_partitions_roundtrip": _UPSERT,
+    "upsert_buckets_roundtrip": _UPSERT,
     "upsert_with_deletes": f"{_MERGE_INPUTS} {_KEPT} UNION ALL SELECT * FROM source WHERE event_type <> 'error'",
     "upsert_only_newer": f"""WITH {_EVENTS}, target AS ({_BOUGHT}), seen AS ({_SEEN}),
 source AS (

@@ -310,13 +310,16 @@ def upsert_order_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @contextmanager
-def _scratch_table(spark: SparkSession, like: DataFrame, partition_by: str | None = None) -> Iterator[str]:
+def _scratch_table(
+    spark: SparkSession, like: DataFrame, partition_by: str | None = None, bucket_by: str | None = None
+) -> Iterator[str]:
     """An external table that is forgotten afterwards; its files stay for the lazy result."""
     name = f"scratch_{uuid.uuid4().hex}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema)
     partitioned = f"PARTITIONED BY ({partition_by})" if partition_by else ""
+    bucketed = f"CLUSTERED BY ({bucket_by}) SORTED BY ({bucket_by}) INTO 8 BUCKETS" if bucket_by else ""
     folder = new_folder(spark, "table")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} LOCATION '{folder}'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} {bucketed} LOCATION '{folder}'")
     try:
         yield name
     finally:
@@ -384,6 +387,16 @@ def upsert_partitions_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stage(spark.table(table).select(*EVENT_COLUMNS), "upserted")
 
 
+def upsert_buckets_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above into buckets of users: first the users' own events bucket by bucket, then all, some without a user."""
+    earlier, today = _before_and_last_day(views.events(spark, sf_dir))
+    with _scratch_table(spark, earlier, bucket_by="user_id") as table:
+        write_table(latest_per_key(earlier, ["user_id"], "ts", ["event_id"]), table)
+        for batch in (today.where("user_id IS NOT NULL"), today):
+            upsert_table(batch, table, ["user_id"], "ts", ["event_id"])
+        return stage(spark.table(table).select(*EVENT_COLUMNS), "upserted")
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = views.all_products(spark, sf_dir)
     folder = new_folder(spark, "csv")
@@ -528,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "upsert_table_roundtrip": upsert_table_roundtrip,
     "upsert_partitions_roundtrip": upsert_partitions_roundtrip,
+    "upsert_buckets_roundtrip": upsert_buckets_roundtrip,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "xlsx_scan": xlsx_scan,
