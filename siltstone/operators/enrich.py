@@ -43,23 +43,29 @@ def enrich_star(
     round_columns: Sequence[str] = (),
     scale: int = 2,
     how: str = "left",
+    fits: Sequence[bool] | None = None,
 ) -> DataFrame:
     """Join the attributes of each dimension.
 
-    An unknown key gives NULL attributes, or with ``how="inner"`` drops the row.
+    An unknown key gives NULL attributes, or with ``how="inner"`` drops the row. ``fits`` is the outcome of ``fits_broadcast``
+    for the dimensions if the caller has it already.
     """
     bare, links = fact, list(links)
     tables = [link.dim.select(link.key, *link.attributes) for link in links]
-    for link, table, fits in zip(links, tables, fits_broadcast(tables)):
+    for link, table, small in zip(links, tables, fits_broadcast(tables) if fits is None else fits):
         # heavy keys are looked for in the facts before any join, not in the chain so far
         key_rows = bare if link.key_rows is None else link.key_rows
-        fact = join_dimension(fact, table, {link.fact_key: link.key}, how, key_rows, fits=fits)
+        fact = join_dimension(fact, table, {link.fact_key: link.key}, how, key_rows, fits=small)
     rounded = {c: round_money(F.col(c), fact.schema[c].dataType, scale) for c in round_columns}
     return fact.withColumns(rounded) if rounded else fact
 
 
 def mark_known(
-    fact: DataFrame, links: Sequence[DimensionLink], round_columns: Sequence[str] = (), scale: int = 2
+    fact: DataFrame,
+    links: Sequence[DimensionLink],
+    round_columns: Sequence[str] = (),
+    scale: int = 2,
+    fits: Sequence[bool] | None = None,
 ) -> tuple[DataFrame, list[Column]]:
     """Enriched facts, and per link a condition that its key is known. One join per dimension."""
     flags = [f"__known_{n}" for n in range(len(links))]
@@ -71,7 +77,7 @@ def mark_known(
         )
         for flag, link in zip(flags, links)
     ]
-    joined = enrich_star(fact, marked, round_columns, scale)
+    joined = enrich_star(fact, marked, round_columns, scale, fits=fits)
     return joined, [F.col(flag).isNotNull() for flag in flags]
 
 
@@ -91,11 +97,32 @@ def classify(
 
 
 def orphan_count(fact: DataFrame, links: Iterable[DimensionLink]) -> DataFrame:
-    """Rows ``(check_name, orphans)``, one per fact key, from one pass over the facts."""
+    """Rows ``(check_name, orphans)``, one per fact key, from one pass over the facts.
+
+    Where a dimension is too large to broadcast, no fact is shuffled: each task counts its facts by key, for all links at once,
+    and the keys with their counts are joined. A key that a third of all facts have is one row of a task then.
+    """
     keys_only = [replace(l, dim=l.dim.select(l.key).distinct(), attributes=()) for l in links]
-    marked, known = mark_known(fact, keys_only)
     names = [link.fact_key for link in keys_only]
-    counts = marked.agg(*(F.count_if(~is_known).alias(n) for is_known, n in zip(known, names)))
+    fits = fits_broadcast([link.dim.withColumn("__known", F.lit(True)) for link in keys_only])
+    if all(fits):
+        marked, known = mark_known(fact, keys_only, fits=fits)
+        unknown = [F.count_if(~is_known) for is_known in known]
+    else:
+        keys = list(dict.fromkeys(names))
+        absent = {k: f"__absent_{n}" for n, k in enumerate(keys)}
+        # a row counts the facts of a value of one key; it is absent from the sets of the others
+        counted = fact.groupingSets([[F.col(k)] for k in keys], *keys).agg(
+            F.count("*").alias("__facts"), *(F.grouping(k).alias(a) for k, a in absent.items())
+        )
+        # counted keys are one row each, so there are no heavy ones to look for
+        even = fact.select(*keys).where(F.lit(False))
+        marked, known = mark_known(counted, [replace(link, key_rows=even) for link in keys_only], fits=fits)
+        unknown = [
+            F.coalesce(F.sum(F.when(~is_known & (F.col(absent[n]) == 0), F.col("__facts"))), F.lit(0).cast("long"))
+            for is_known, n in zip(known, names)
+        ]
+    counts = marked.agg(*(count.alias(n) for count, n in zip(unknown, names)))
     return counts.unpivot([], names, "check_name", "orphans")
 
 
