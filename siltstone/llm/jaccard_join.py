@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import ExitStack
 from itertools import combinations
 
 import numpy as np
@@ -12,21 +13,22 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siltstone.llm.shared import attach_groups, bitmap_of, components, filter_bit, in_bitmap
 from siltstone.llm.shingles import shingle_sets, slices
-from siltstone.sinks.staging import stage
+from siltstone.sinks.staging import stage, staged
 
 SHARED = 3  # prefix elements that a pair must have in common
 SMALL_MOST = 16  # sets above this size are always large
 CHUNK_SHINGLES = 2_000_000
 CHUNK_REPEATS = 3
-LEADER_ROUNDS = 6
-LEADERS_TRIED = 4
-HELPS = 0.2  # share of the pairs tried that must link for a further round
-PAIRS_PER_ROW = 1
 LONG_LIST = 32
+CHUNK_SETS = 512
+CHUNK_ELEMENTS = 1 << 18
+DEALINGS = 4
+HELPS = 0.01  # share of the members of long lists that must join a component for a further dealing
+LARGE_COMPONENT = 64
+SLAB = 4096  # columns of a membership matrix that are multiplied at a time
 LISTED_MOST = 2_000_000
 
 
@@ -276,6 +278,165 @@ def _once(rows: DataFrame, repeated: DataFrame, columns: list[str]) -> DataFrame
     return rows.join(ids, "doc_id", "left_anti").unionByName(several)
 
 
+def similar_in_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (one of ``left``, one of ``right``) of similar sets; intersections are products of membership matrices."""
+    sizes = np.array([len(s) for s in sets])
+    exact = np.float32 if sizes.max(initial=0) < 1 << 24 else np.float64
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = held > 1
+    columns = int(several.sum())
+    place = np.cumsum(several) - 1
+    keep = several[column]
+    owner, column = owner[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(left), len(right)), exact)
+    for first in range(0, columns, SLAB):
+        low, high = np.searchsorted(column, [first, first + SLAB])
+        holds = np.zeros((len(sets), min(SLAB, columns - first)), exact)
+        holds[owner[low:high], column[low:high] - first] = 1
+        shared += holds[left] @ holds[right].T
+    union = sizes[left][:, None] + sizes[right][None, :] - shared
+    i, j = np.nonzero((100 * shared.astype(np.float64) >= percent * union) & (shared > 0))
+    return left[i], right[j]
+
+
+def spanning_star(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least index reachable from each index along the pairs (a, b)."""
+    label = np.arange(count)
+    while True:
+        low = np.minimum(label[a], label[b])
+        then = label.copy()
+        np.minimum.at(then, a, low)
+        np.minimum.at(then, b, low)
+        np.minimum.at(then, label[a], low)
+        np.minimum.at(then, label[b], low)
+        then = then[then]
+        if (then == label).all():
+            return label
+        label = then
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows with the same (one, two), whole, of rows sorted by these."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        one, two = (batch.column(at).to_numpy() for at in (0, 1))
+        cuts = np.flatnonzero((one[1:] != one[:-1]) | (two[1:] != two[:-1])) + 1
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            block = (one[low], two[low])
+            if held and block != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = block
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def block_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a star for every connected part of each block of ``rows`` (one, two, chunk, rep, values).
+
+    A block compares the chunks ``one`` and ``two``, or a chunk with itself. It has at
+    most about CHUNK_SETS sets and CHUNK_ELEMENTS elements a side, a single larger set excepted, so no task holds a whole list.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _whole_blocks(batches):
+            sets = [np.frombuffer(v.as_buffer(), dtype="<u8") for v in block.column(4)]
+            reps, chunk = block.column(3).to_numpy(), block.column(2).to_numpy()
+            left = np.flatnonzero(chunk == block.column(0)[0].as_py())
+            right = np.flatnonzero(chunk == block.column(1)[0].as_py())
+            least = spanning_star(len(reps), *similar_in_block(sets, left, right, percent))
+            linked = np.flatnonzero(least != np.arange(len(reps)))
+            if len(linked):
+                yield pa.RecordBatch.from_arrays([pa.array(reps[linked]), pa.array(reps[least[linked]])], names=["a", "b"])
+
+    blocks = rows.select("one", "two", "chunk", "rep", "values").repartition("one", "two").sortWithinPartitions("one", "two")
+    return blocks.mapInArrow(compare, "a long, b long").where("a <> b").distinct()
+
+
+def _dealt(members: DataFrame, keys: list[str], seed: int) -> DataFrame:
+    """``members`` with a ``chunk``: those that agree in ``keys`` are dealt evenly over as many chunks as they need."""
+    sizes = members.groupBy(*keys).agg(F.sum("n").alias("elements"), F.count("*").alias("rows"))
+    parts = F.greatest(F.ceil(F.col("elements") / CHUNK_ELEMENTS), F.ceil(F.col("rows") / CHUNK_SETS))
+    sizes = sizes.select(*keys, "rows", parts.cast("long").alias("parts"))
+    dealt = attach_groups(members, sizes, keys, "rows", members.count())
+    part = F.pmod(F.xxhash64("own", F.lit(seed)), F.col("parts"))
+    return dealt.withColumn("chunk", F.xxhash64(*keys, part)).drop("rows", "parts")
+
+
+def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    found = rows.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    return found.withColumn("component", F.coalesce("component", "rep"))
+
+
+def _open_lists(entries: DataFrame, members: DataFrame) -> DataFrame:
+    """(shingle): lists with members of several components."""
+    by_list = entries.join(members.select("rep", "component").distinct(), "rep").groupBy("shingle")
+    return by_list.agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+
+
+def long_list_links(docs: DataFrame, entries: DataFrame, links: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links that join all similar pairs which share one of the lists ``entries`` (rep, n, shingle, length).
+
+    Members of the same longest list and of like size are dealt into bounded chunks, and a task
+    compares all sets of a chunk. Dealings with other seeds follow while they
+    join components. What is left are lists with members of several components: any two chunks
+    that meet in one are compared whole, unless both hold one and the same component, or their sizes do not allow it. Members of large
+    components are dealt apart from the rest, so this concerns few pairs of chunks.
+    """
+    with ExitStack() as stack:
+
+        def keep(df: DataFrame, label: str) -> DataFrame:
+            return stack.enter_context(staged(df, label))
+
+        tops = keep(entries.groupBy("rep").agg(F.max(F.struct("length", "shingle")).alias("top")), "tops")
+        sets = kept_sets(docs, tops, words, 64).withColumn("own", F.xxhash64("values"))
+        sets = keep(sets.join(tops.select("rep", F.col("top.shingle").alias("list")), "rep"), "sets")
+        n = (F.length("values") / 8).cast("long")
+        members = sets.where(n > 0).select("rep", "own", n.alias("n"), "list", F.floor(F.log(n.cast("double")) / math.log(1.5)).alias("band"))
+        members, sets = keep(members, "members"), sets.select("rep", "own", "values")
+        count, merged, found = members.count(), 0, links
+        open_members = members
+        for seed in range(DEALINGS):
+            chunks = _dealt(open_members, ["list", "band"], seed)
+            rows = chunks.join(sets, ["rep", "own"]).withColumn("one", F.col("chunk")).withColumn("two", F.col("chunk"))
+            found = keep(found.unionByName(keep(block_links(rows, percent), "found")), "links")
+            groups = components(found, keep)
+            labelled = keep(_labelled(members, groups), "labelled")
+            open_lists = keep(_open_lists(entries, labelled), "open")
+            joined = labelled.where("component <> rep").count()
+            if open_lists.isEmpty() or joined - merged <= HELPS * count:
+                break
+            merged = joined
+            still = entries.join(open_lists, "shingle", "left_semi").select("rep").distinct()
+            open_members = keep(members.join(still, "rep", "left_semi"), "still")
+
+        sizes = labelled.groupBy("component").agg(F.count("*").alias("rows")).where(F.col("rows") > LARGE_COMPONENT)
+        apart = attach_groups(labelled, sizes, ["component"], "rows", count)
+        apart = apart.withColumn("large", F.when(F.col("rows").isNotNull(), F.col("component"))).drop("rows")
+        chunks = keep(_dealt(apart, ["list", "band", "large"], 0).select("rep", "own", "n", "component", "chunk"), "chunks")
+        still = entries.join(open_lists, "shingle", "left_semi").select("rep", "n", "shingle").join(chunks, ["rep", "n"])
+        met = still.groupBy("shingle", "chunk").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")
+        )
+        met = keep(met, "met")
+        one, two = met.alias("one"), met.alias("two")
+        fit = "one.most * 100 >= two.least * {0} AND two.most * 100 >= one.least * {0}".format(percent)
+        blocks = one.join(two, F.col("one.shingle") == F.col("two.shingle")).where(
+            f"one.chunk <= two.chunk AND least(one.low, two.low) < greatest(one.high, two.high) AND {fit}"
+        )
+        blocks = keep(blocks.select(F.col("one.chunk").alias("one"), F.col("two.chunk").alias("two")).distinct(), "blocks")
+        sides = blocks.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("chunk"))
+        rows = sides.join(chunks.select("rep", "own", "chunk"), "chunk").join(sets, ["rep", "own"])
+        return stage(found.unionByName(block_links(rows, percent)), "links")
+
+
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
@@ -289,10 +450,9 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     by the list lengths measured. The common order has rare shingles first, and by hash.
     A pair in several lists is compared once, if it shares at least SHARED prefix elements.
 
-    Long lists of near copies would give all pairs of a group. So while lists of more than
-    LONG_LIST would give more than PAIRS_PER_ROW pairs a row, their members are compared with up to
-    LEADERS_TRIED that lead their lists, by another order every round, and only pairs across the
-    components found so far are left for the end. Rounds end when they no longer help.
+    A list of more than LONG_LIST members is not expanded into pairs: its members' sets are compared
+    inside tasks, chunk by chunk, and only stars of connected parts come out (``long_list_links``).
+    A pair that shares no such list shares SHARED of the short ones.
 
     Null and empty texts, or texts without words, have size 0 and link with nothing. Rows with
     the same doc_id are one document: linked, whatever their texts, and linked to all that one of them is like. A null doc_id has the component of the copies it
@@ -327,41 +487,15 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
 
     links = _small_links(reps, percent, boundary)
     links = stage(links.unionByName(same_id_links(found, repeated)), "links")
-    sets, helps = None, True
-    for number in range(LEADER_ROUNDS + 1):
-        groups = components(links)
-        labelled = entries.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        by_part = labelled.groupBy("shingle", "component").agg(F.count("*").alias("part"))
-        by_list = by_part.groupBy("shingle").agg(F.sum("part").alias("all"), F.sum(F.expr("part * part")).alias("same"))
-        left = stage(by_list.where("all * all > same"), "left")
-        open_lists = stage(labelled.join(left.select("shingle", "all"), "shingle"), "open")
-        in_long = F.when(F.col("all") > LONG_LIST, F.expr("(all * all - same) / 2"))
-        pairs = left.agg(F.sum(in_long)).first()[0] or 0
-        if not helps or number == LEADER_ROUNDS or pairs <= PAIRS_PER_ROW * open_lists.count():
-            break
-        long_lists = open_lists.where(F.col("all") > LONG_LIST)
-        order = F.struct(F.xxhash64("rep", F.lit(number)), F.col("rep"), F.col("n"), F.col("component"))
-        leaders = long_lists.groupBy("shingle").agg(F.min(order).alias("leader"))
-        tried = long_lists.join(leaders, "shingle").select(
-            "rep", "n", "component", F.col("leader.rep").alias("b"), F.col("leader.n").alias("n_b"), F.col("leader.component").alias("to")
-        )
-        tried = tried.where("component <> to").where(_sizes_fit("n", "n_b", percent))
-        tried = tried.groupBy(F.col("rep").alias("a"), "b").agg(F.count("*").alias("lists"))
-        closest = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("lists"), "b"))
-        best = stage(tried.withColumn("n", closest).where(F.col("n") <= LEADERS_TRIED).select("a", "b"), "tried")
-        if sets is None:
-            sets = kept_sets(docs, long_lists.select("rep"), words, 64)
-        found_now = _similar(best, sets, 64, percent)
-        helps = found_now.count() > HELPS * best.count()
-        links = stage(links.unionByName(found_now), "links")
-
-    one, two = open_lists.alias("one"), open_lists.alias("two")
+    lengths = entries.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1")
+    lists = attach_groups(entries.drop("length"), lengths, ["shingle"], "length", scanned[1])
+    lists = stage(lists.where("length IS NOT NULL"), "lists")
+    links = long_list_links(docs, lists.where(F.col("length") > LONG_LIST), links, words, percent)
+
+    short = lists.where(F.col("length") <= LONG_LIST)
+    one, two = short.alias("one"), short.alias("two")
     pairs = one.join(two, F.col("one.shingle") == F.col("two.shingle")).where(
-        (F.col("one.rep") < F.col("two.rep"))
-        & (F.col("one.component") != F.col("two.component"))
-        & (F.greatest("one.n", "two.n") > boundary)
-        & _sizes_fit("one.n", "two.n", percent)
+        (F.col("one.rep") < F.col("two.rep")) & (F.greatest("one.n", "two.n") > boundary) & _sizes_fit("one.n", "two.n", percent)
     )
     pairs = pairs.groupBy(F.col("one.rep").alias("a"), F.col("two.rep").alias("b")).agg(
         F.count("*").alias("lists"), F.min("one.n").alias("n_a"), F.min("two.n").alias("n_b")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,13 +72,13 @@ def in_bitmap(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = stage) -> DataFrame:
     """(node, component): the smallest node reachable; only linked nodes are returned.
 
     ``links`` has the columns a and b, in any order. In every round each node points to
     its smallest neighbour, pointers are followed twice over, and links are redrawn
     between what they point to, until none is left. Every round is written to the
-    shared folder, so no lineage builds up; the driver only asks whether links remain.
+    shared folder by ``stage``, so no lineage builds up; the driver only asks whether links remain.
     """
 
     def redrawn(pairs: DataFrame) -> DataFrame:
