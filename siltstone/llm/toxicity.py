@@ -18,8 +18,11 @@ from siltstone.sinks.staging import stage
 _WORD = re.compile(r"[^\W\d_]+")
 # A term takes part in pairs from so many rows on.
 LEAST_ROWS = 5
-# In texts of more such terms every pair counts less, or the many pairs of long texts drown the weights.
+# While factors are searched for, every pair counts less in texts of more such terms, or the many
+# pairs of long texts drown the weights. The last pass and scores count all pairs in full.
 PAIR_TERMS = 60
+# Factors that stay shorter than this are the noise they began as: such terms interact with none.
+LEAST_FACTOR = 0.1
 L1_OF_5000 = 15.0
 
 
@@ -37,22 +40,21 @@ def term_buckets(text: str | None, bits: int, start_letters: int = 5) -> np.ndar
 
 @dataclass
 class FactorizationMachine:
-    """score = sigmoid(bias + sum w_i + share/2 sum_f ((sum v_if)^2 - sum v_if^2)) over a text's terms.
+    """score = sigmoid(bias + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2)) over a text's terms.
 
-    Pairs are those of terms met ``often``; ``share`` is ``pair_share`` of these.
+    Pairs are those of terms that ``interact``, and count alike in texts of any length.
     """
 
     bias: float
     weight: np.ndarray
     factors: np.ndarray
-    often: np.ndarray
+    interact: np.ndarray
     bits: int
 
     def margin(self, terms: np.ndarray) -> float:
-        paired = terms[self.often[terms]]
-        v = self.factors[paired]
+        v = self.factors[terms[self.interact[terms]]]
         pairs = 0.5 * (v.sum(axis=0) ** 2 - (v * v).sum(axis=0)).sum()
-        return float(self.bias + self.weight[terms].sum() + pair_share(paired) * pairs)
+        return float(self.bias + self.weight[terms].sum() + pairs)
 
     def score(self, text: str | None) -> float:
         margin = self.margin(term_buckets(text, self.bits))
@@ -65,6 +67,7 @@ class Learner:
 
     A weight is zero until its gradients add up to more than ``l1``, which a term met a few
     times doesn't reach. Terms that are ``often`` met take part in pairs, whatever their weights.
+    With ``in_full`` only those do whose factors are LEAST_FACTOR long, and no pair is scaled: the model that scores.
     """
 
     bias: float
@@ -74,6 +77,7 @@ class Learner:
     factors_seen: np.ndarray
     often: np.ndarray
     l1: float
+    in_full: bool = False
     rate: float = 1.0
     l2: float = 0.01
     factor_rate: float = 0.05
@@ -84,10 +88,13 @@ class Learner:
         free = pull - np.sign(pull) * self.l1
         return np.where(np.abs(pull) <= self.l1, 0.0, -free / (np.sqrt(self.seen[terms]) / self.rate + self.l2))
 
+    def interacting(self) -> np.ndarray:
+        return self.often & (np.linalg.norm(self.factors, axis=1) >= LEAST_FACTOR)
+
     def learn(self, terms: np.ndarray, label: float, cost: float, pairs: bool) -> None:
         weight = self.weights(terms)
         paired = terms[self.often[terms]] if pairs else terms[:0]
-        share = pair_share(paired)
+        share = 1.0 if self.in_full else pair_share(paired)
         v = self.factors[paired]
         total = v.sum(axis=0)
         margin = self.bias + weight.sum() + 0.5 * share * (total * total - (v * v).sum(axis=0)).sum()
@@ -108,6 +115,8 @@ class Learner:
         """
         toxic = min(max(float(np.mean([y for _, y in rows])), 1e-3), 1 - 1e-3)
         cost = {1.0: 0.5 / toxic, 0.0: 0.5 / (1 - toxic)}
+        if self.in_full:
+            self.often = self.interacting()
         for at in np.random.default_rng(seed).permutation(len(rows)):
             self.learn(*rows[at], cost[rows[at][1]], pairs)
 
@@ -159,8 +168,8 @@ def train_toxicity_model(
 
     The rows' hashed terms are dealt to parts of about ``part_rows``. In every pass a task
     per part goes on from the common parameters, and the results are averaged; the first pass
-    learns weights alone, so that pairs learn what these leave. Parameters
-    have a fixed size, (2 + 2 x ``rank``) x 2**``bits``.
+    learns weights alone, so that pairs learn what these leave, and the last one keeps the terms whose
+    factors have grown and fits them with all pairs in full. Parameters have a fixed size, (2 + 2 x ``rank``) x 2**``bits``.
     """
     spark = labelled.sparkSession
 
@@ -186,13 +195,14 @@ def train_toxicity_model(
     l1 = L1_OF_5000 * float(np.sqrt(sum(sizes.values()) / parts / 5000))
     state = Learner(0.0, np.zeros(size), np.zeros(size), start, np.ones((size, rank)), often, l1)
 
-    def pass_of(shared, step_seed: int, with_pairs: bool):
+    def pass_of(shared, step_seed: int, with_pairs: bool, in_full: bool):
         def learn(group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values(["pick", "terms"], ignore_index=True)
             pairs = [
                 (np.frombuffer(t, "<i4").astype(np.int64), float(y)) for t, y in zip(group["terms"], group["label"])
             ]
             own = Learner.mean([shared.value], bits, rank, often, l1)
+            own.in_full = in_full
             own.pass_over(pairs, step_seed, with_pairs)
             return pd.DataFrame({"block": [own.packed()]})
 
@@ -201,10 +211,11 @@ def train_toxicity_model(
     for number in range(passes):
         shared = spark.sparkContext.broadcast(state.packed())
         # one block of fixed size for each part
-        learned = dealt.groupBy("part").applyInPandas(pass_of(shared, seed + number, number > 0), "block binary").collect()
+        learn = pass_of(shared, seed + number, number > 0, number == passes - 1)
+        learned = dealt.groupBy("part").applyInPandas(learn, "block binary").collect()
         state = Learner.mean([bytes(row.block) for row in learned], bits, rank, often, l1)
         shared.unpersist()
-    return FactorizationMachine(state.bias, state.weights(), state.factors, often, bits)
+    return FactorizationMachine(state.bias, state.weights(), state.factors, state.interacting(), bits)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> DataFrame:
