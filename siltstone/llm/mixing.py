@@ -139,7 +139,7 @@ def mix_sources(
     sizes. A shard's documents in doc_id order are one run of words, cut into blocks; its
     quota gives every block as many whole turns as there are, and one more to blocks spread
     evenly from a seeded start. ``taken`` counts the words of a document in the blocks
-    taken, repeats counted, and is at most ``ceiling`` times its size, rounded up.
+    taken, repeats counted, and is at most ``ceiling`` times its size.
 
     A shard is chosen by the hash of id and text, so a source of any size spreads over
     tasks, and a rerun takes the same. Null texts have size 0; a null source is a source, the

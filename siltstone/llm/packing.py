@@ -168,7 +168,8 @@ def pack_documents(
     windows as its tokens need.
 
     Tasks work on their own rows only: nothing is shuffled, a task holds one group and one
-    Arrow batch, and one that runs again cuts and numbers alike. ``sequence_id`` has the
+    Arrow batch, and one that runs again over a file scan cuts and numbers alike. After a shuffle
+    the order of rows in a task may change, so write such input first. ``sequence_id`` has the
     task's number in its high bits.
 
     Nulls and empty texts: the document is its ``end_id`` alone. A null doc_id stays null.
