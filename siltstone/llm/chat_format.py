@@ -101,16 +101,17 @@ def train_role_model(turns: DataFrame) -> RoleModel:
         lengths[role, length] += n
         asks[role, ask] += n
         laid_out[role, out] += n
-    # what follows a turn, by its number: no conversation has to be in one place
-    spoken = known.select("conv", "turn", "role").where("turn IS NOT NULL")
-    after = spoken.select("conv", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
-    pairs = spoken.join(after, ["conv", "turn"], "left").groupBy("before", "role").agg(F.count("*").alias("n")).collect()
-    first, following = np.zeros(3), np.zeros((3, 3))
-    for row in pairs:
-        if row.before is None:
-            first[row.role] += row.n
-        else:
-            following[row.before, row.role] += row.n
+    # what follows a turn, by its number: no conversation has to be in one place. Rows that share a turn number
+    # are counted before they meet, and each counts once, in shares of the roles before it
+    counts = [F.count(F.when(F.col("role") == role, 1)).alias(f"n{role}") for role in range(3)]
+    spoken = known.where("turn IS NOT NULL").groupBy("conv", "turn").agg(*counts)
+    before = spoken.select("conv", (F.col("turn") + 1).alias("turn"), *(F.col(f"n{role}").alias(f"b{role}") for role in range(3)))
+    pairs = spoken.join(before, ["conv", "turn"], "left")
+    share = "sum(cast(n{1} * b{0} / (b0 + b1 + b2) AS decimal(28, 6)))"
+    sums = [F.expr(f"sum(CASE WHEN b0 IS NULL THEN n{role} END)") for role in range(3)]
+    sums += [F.expr(share.format(last, role)) for last in range(3) for role in range(3)]
+    found = np.array([float(value or 0) for value in pairs.agg(*sums).first()])
+    first, following = found[:3], found[3:].reshape(3, 3)
     return RoleModel(*map(_log_share, (first, following, markers, lengths, asks, laid_out)))
 
 
