@@ -22,7 +22,7 @@ class Scan:
     """A text source read once: every record with what the schema makes of it.
 
     ``good`` are the rows of the declared schema, ``rejects`` the others as (raw, reason). Both are views of one
-    scan; write ``judged`` once (``staging.staged``) and hand it to ``of`` where both are needed.
+    scan; write ``judged`` or ``without_good_text`` once (``staging.staged``) and hand it to ``of`` where both are needed.
     """
 
     judged: DataFrame
@@ -36,6 +36,11 @@ class Scan:
     def rejects(self) -> DataFrame:
         return self.judged.where(F.col(REASON).isNotNull()).select(F.col(_RECORD).alias(RAW), REASON)
 
+    @property
+    def without_good_text(self) -> DataFrame:
+        """``judged`` with the text of rejects alone, which is all that ``good`` and ``rejects`` need."""
+        return self.judged.withColumn(_RECORD, F.when(F.col(REASON).isNotNull(), F.col(_RECORD)))
+
     def of(self, written: DataFrame) -> Scan:
         return Scan(written, self.schema)
 
