@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import ExitStack
 from itertools import combinations
 
@@ -108,8 +108,12 @@ def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
 
     rows = docs.count()
     counts = docs.select("text").mapInArrow(in_arrow, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    common = counts.where(F.col("n") > max(8, rows // 2000)).select("shingle").toPandas()["shingle"]
-    return np.sort(common.to_numpy(np.int64).view(np.uint64))
+    return np.sort(_hashes(counts.where(F.col("n") > max(8, rows // 2000)), "shingle"))
+
+
+def _hashes(rows: DataFrame, column: str) -> np.ndarray:
+    """A column on the driver, 8 bytes a value: Arrow, as rows take many times that."""
+    return np.asarray(rows.select(column).toArrow().column(column), dtype=np.int64).view(np.uint64)
 
 
 def in_long_lists(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> np.ndarray:
@@ -117,8 +121,7 @@ def in_long_lists(docs: DataFrame, words: int, percent: int, common: np.ndarray)
     entries = profiles(docs, words, percent, common).select(F.explode("prefix").alias("shingle"))
     lengths = stage(entries.groupBy("shingle").agg(F.count("*").alias("length")).where(F.col("length") > LONG_LIST), "lengths")
     rows = lengths.agg(F.sum("length")).first()[0] or 0
-    found = lengths.where(F.col("length") > rows / LISTED_MOST).select("shingle").toPandas()["shingle"]
-    return found.to_numpy(np.int64).view(np.uint64)
+    return _hashes(lengths.where(F.col("length") > rows / LISTED_MOST), "shingle")
 
 
 def profiles(docs: DataFrame, words: int, percent: int, last_in_order: np.ndarray) -> DataFrame:
@@ -195,7 +198,9 @@ def kept_sets(docs: DataFrame, wanted: DataFrame, words: int, bits: int) -> Data
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.binary())], names=["rep", "values"])
 
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
-    return stage(rows.withColumn("bit", filter_bit("rep")).mapInArrow(keep, "rep long, values binary"), "sets")
+    sets = stage(rows.withColumn("bit", filter_bit("rep")).mapInArrow(keep, "rep long, values binary"), "sets")
+    asked.destroy()
+    return sets
 
 
 def prefix_entries(reps: DataFrame) -> DataFrame:
@@ -210,7 +215,9 @@ def prefix_entries(reps: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(in_bitmap(shared.value, batch.column(3).to_numpy()))).select(["rep", "n", "shingle"])
 
     some = entries.withColumn("bit", filter_bit("shingle")).mapInArrow(probable, "rep long, n long, shingle long")
-    return stage(some.join(lengths, "shingle"), "lists")
+    lists = stage(some.join(lengths, "shingle"), "lists")
+    shared.destroy()
+    return lists
 
 
 def common_count(a: np.ndarray, b: np.ndarray) -> int:
@@ -360,11 +367,14 @@ def block_links(rows: DataFrame, percent: int) -> DataFrame:
     return blocks.mapInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
-def _dealt(members: DataFrame, keys: list[str], seed: int) -> DataFrame:
-    """``members`` with a ``chunk``: those that agree in ``keys`` are dealt evenly over as many chunks as they need."""
+def _dealt(members: DataFrame, keys: list[str], seed: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``members`` with a ``chunk``: those that agree in ``keys`` are dealt evenly over as many chunks as they need.
+
+    ``members`` is read several times, so it should be written already; ``keep`` writes the sizes.
+    """
     sizes = members.groupBy(*keys).agg(F.sum("n").alias("elements"), F.count("*").alias("rows"))
     parts = F.greatest(F.ceil(F.col("elements") / CHUNK_ELEMENTS), F.ceil(F.col("rows") / CHUNK_SETS))
-    sizes = sizes.select(*keys, "rows", parts.cast("long").alias("parts"))
+    sizes = keep(sizes.select(*keys, "rows", parts.cast("long").alias("parts")), "sizes")
     dealt = attach_groups(members, sizes, keys, "rows", members.count())
     part = F.pmod(F.xxhash64("own", F.lit(seed)), F.col("parts"))
     return dealt.withColumn("chunk", F.xxhash64(*keys, part)).drop("rows", "parts")
@@ -404,7 +414,7 @@ def long_list_links(docs: DataFrame, entries: DataFrame, links: DataFrame, words
         count, merged, found = members.count(), 0, links
         open_members = members
         for seed in range(DEALINGS):
-            chunks = _dealt(open_members, ["list", "band"], seed)
+            chunks = _dealt(open_members, ["list", "band"], seed, keep)
             rows = chunks.join(sets, ["rep", "own"]).withColumn("one", F.col("chunk")).withColumn("two", F.col("chunk"))
             found = keep(found.unionByName(keep(block_links(rows, percent), "found")), "links")
             groups = components(found, keep)
@@ -418,9 +428,10 @@ def long_list_links(docs: DataFrame, entries: DataFrame, links: DataFrame, words
             open_members = keep(members.join(still, "rep", "left_semi"), "still")
 
         sizes = labelled.groupBy("component").agg(F.count("*").alias("rows")).where(F.col("rows") > LARGE_COMPONENT)
-        apart = attach_groups(labelled, sizes, ["component"], "rows", count)
-        apart = apart.withColumn("large", F.when(F.col("rows").isNotNull(), F.col("component"))).drop("rows")
-        chunks = keep(_dealt(apart, ["list", "band", "large"], 0).select("rep", "own", "n", "component", "chunk"), "chunks")
+        apart = attach_groups(labelled, keep(sizes, "sizes"), ["component"], "rows", count)
+        # written, as each of the joins of _dealt would repeat the plan of this one
+        apart = keep(apart.withColumn("large", F.when(F.col("rows").isNotNull(), F.col("component"))).drop("rows"), "apart")
+        chunks = keep(_dealt(apart, ["list", "band", "large"], 0, keep).select("rep", "own", "n", "component", "chunk"), "chunks")
         still = entries.join(open_lists, "shingle", "left_semi").select("rep", "n", "shingle").join(chunks, ["rep", "n"])
         met = still.groupBy("shingle", "chunk").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")
@@ -476,17 +487,17 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     if not repeated.isEmpty():
         reps = _once(reps, repeated, ["doc_id", *sig])
         docs = _once(docs.select(F.col("doc_id").cast("long"), "text"), repeated, ["doc_id", "text"])
-    reps = reps.withColumnRenamed("doc_id", "rep")
-    entries = prefix_entries(reps)
-    # a document with fewer common elements has no partner
-    able = entries.groupBy("rep").agg(F.count("*").alias("lists"), F.min("n").alias("n"))
-    able = stage(able.where(F.col("lists") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))), "able")
-    entries = stage(entries.join(able.select("rep"), "rep", "left_semi"), "lists")
-    scanned = entries.agg(F.sum("length"), F.count("*")).first()
-    boundary = size_boundary(percent, (scanned[0] or 0) / max(1, scanned[1]))
-
-    links = _small_links(reps, percent, boundary)
-    links = stage(links.unionByName(same_id_links(found, repeated)), "links")
+    with staged(reps.withColumnRenamed("doc_id", "rep").select("rep", "n", "prefix", "whole"), "reps") as reps:
+        entries = prefix_entries(reps)
+        # a document with fewer common elements has no partner
+        able = entries.groupBy("rep").agg(F.count("*").alias("lists"), F.min("n").alias("n"))
+        able = stage(able.where(F.col("lists") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))), "able")
+        entries = stage(entries.join(able.select("rep"), "rep", "left_semi"), "lists")
+        scanned = entries.agg(F.sum("length"), F.count("*")).first()
+        boundary = size_boundary(percent, (scanned[0] or 0) / max(1, scanned[1]))
+
+        links = _small_links(reps, percent, boundary)
+        links = stage(links.unionByName(same_id_links(found, repeated)), "links")
     lengths = entries.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1")
     lists = attach_groups(entries.drop("length"), lengths, ["shingle"], "length", scanned[1])
     lists = stage(lists.where("length IS NOT NULL"), "lists")

@@ -62,9 +62,11 @@ def bitmap_of(rows: DataFrame, column: str, bit: Column | None = None) -> np.nda
     bits = rows.select(((filter_bit(column) if bit is None else bit) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
     maps = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
     whole = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for row in maps.toLocalIterator():
-        part = np.frombuffer(bytes(row.map), np.uint8)
-        whole[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
+    # all at once, 8 MB at most: an iterator would run a job for every partition
+    found = maps.toArrow()
+    for bucket, part in zip(found.column("bucket").to_pylist(), found.column("map")):
+        part = np.frombuffer(part.as_buffer(), np.uint8)
+        whole[(bucket - 1) * len(part) : bucket * len(part)] = part
     return whole
 
 
