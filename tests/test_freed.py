@@ -1,0 +1,55 @@
+"""Disk and memory that a step took are given back when it ends."""
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.operators.joins import hot_key_hashes
+from siltstone.retail import jobs
+from siltstone.retail.jobs import RetailConfig
+from siltstone.sinks.staging import staged
+from siltstone.sinks.tables import write_table
+
+
+@pytest.fixture
+def config(spark, tmp_path):
+    config = RetailConfig(database="freed")
+    spark.sql(f"CREATE SCHEMA freed LOCATION '{tmp_path}/freed'")
+    jobs.setup(spark, config)
+    yield config
+    spark.sql("DROP SCHEMA freed CASCADE")
+
+
+def _shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = env.blockManager().diskBlockManager().localDirs()
+    return {f for folder in folders for f in glob.glob(f"{folder.getPath()}/*/shuffle_*.data")}
+
+
+def test_shuffles_of_a_write_are_freed_when_it_ends(spark, config, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    counted = spark.range(1000).groupBy((F.col("id") % 50).alias("k")).count()
+    joined = counted.join(spark.range(40), F.col("k") == F.col("id")).drop("id")
+    before = _shuffle_files(spark)
+    with staged(joined, "joined") as rows:
+        assert rows.count() == 40
+    state = joined.selectExpr(
+        "cast(k AS int) year", "concat(k, 'a') category", "concat(k, 'b') sub_category", "concat(k, 'c') customer_name",
+        "cast(k AS decimal(38,10)) exact_sum", "count rows", "count + 1 measured", "count * 0 inexact",
+    )
+    assert write_table(state, "freed.gold_profit_state") == 40
+    # counting rows leaves one file at most; the two writes shuffled both sides of a join each
+    assert len(_shuffle_files(spark) - before) <= 1
+    assert joined.count() == 40
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_heavy_keys_are_found_without_a_shuffle_of_all_keys(spark):
+    keys = spark.range(40_000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    found = spark.range(1).select(hot_key_hashes(keys, ["k"], 8).alias("hot"))
+    assert found.first().hot == [spark.range(1).select(F.xxhash64(F.lit(-1).cast("long")).alias("h")).first().h]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    empty = spark.range(1).select(hot_key_hashes(keys.where("false"), ["k"], 8).alias("hot"))
+    assert empty.first().hot == []
