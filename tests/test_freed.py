@@ -1,12 +1,13 @@
 """Disk and memory that a step took are given back when it ends."""
 
 import glob
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators.joins import hot_key_hashes
-from siltstone.retail import jobs
+from siltstone.retail import jobs, schemas
 from siltstone.retail.jobs import RetailConfig
 from siltstone.sinks.staging import staged
 from siltstone.sinks.tables import write_table
@@ -53,3 +54,12 @@ def test_heavy_keys_are_found_without_a_shuffle_of_all_keys(spark):
     assert "hashpartitioning" not in plan
     empty = spark.range(1).select(hot_key_hashes(keys.where("false"), ["k"], 8).alias("hot"))
     assert empty.first().hot == []
+
+
+def test_replaced_contents_are_freed_and_present_ones_kept(spark, config):
+    row = spark.createDataFrame([(2000, "a", "b", "Ann", 1.0, datetime(2024, 1, 1), "FULL")], schemas.gold_profit_summary.schema)
+    for _ in range(3):
+        write_table(row, "freed.gold_profit_summary")
+    assert jobs.free_superseded(spark, config) == 2
+    assert spark.table("freed.gold_profit_summary").count() == 1
+    assert jobs.free_superseded(spark, config) == 0
