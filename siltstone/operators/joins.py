@@ -121,8 +121,9 @@ def hot_key_hashes(df: DataFrame, keys: list[str], fan_out: int) -> Column:
     found = df.select(_key_hash(df, keys).alias("h")).agg(
         F.call_function("approx_top_k", F.col("h"), F.lit(listed), F.lit(tracked)).alias("top"), F.count("*").alias("n")
     )
-    heavy = F.filter("top", lambda item: item["count"] > F.col("n") / F.lit(fan_out))
-    return found.select(F.transform(heavy, lambda item: item["item"]).alias("hot")).scalar()
+    listed_keys = found.select(F.explode("top").alias("key"), "n")
+    heavy = listed_keys.where(F.col("key.count") > F.col("n") / F.lit(fan_out))
+    return heavy.agg(F.collect_list("key.item").alias("hot")).scalar()
 
 
 def _salted(
